@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from slotfuse.catalog import standins
 from slotfuse.catalog.registry import query, rounded, table
 from slotfuse.catalog.standins import SQL_CLOCK, with_views
+from slotfuse.functions.timeslots import with_clock_text
 from slotfuse.operators.sensors import sensor_slots
 from slotfuse.schemas import CHANNELS, MEANS
 from slotfuse.sources.sensor_files import read_readings, with_path_keys
@@ -74,7 +75,7 @@ _SQL_SLOTS = f"""select class_id, participant_id, {SQL_CLOCK.format('sl')} as ti
 def sensor_file_slots(spark, sf_dir):
     """Sensor files to one row per class, participant and slot."""
     readings = read_readings(spark, _sensor_tree(spark, sf_dir), time_type="timestamp_ntz")
-    return rounded(sensor_slots(readings, CHANNELS), MEANS)
+    return rounded(with_clock_text(sensor_slots(readings, CHANNELS), "slot", "time_format"), MEANS)
 
 
 @query(_with_tree(f"{_SQL_SLOTS}, cast(null as double) as gsr_mean from tree group by 1,2,3"))
@@ -82,4 +83,4 @@ def channel_or_empty(spark, sf_dir):
     """A channel without any file keeps its column, all NULL."""
     channels = {**CHANNELS, "gsr": "gsr_mean"}
     readings = read_readings(spark, _sensor_tree(spark, sf_dir), channels, "timestamp_ntz")
-    return rounded(sensor_slots(readings, channels), MEANS)
+    return rounded(with_clock_text(sensor_slots(readings, channels), "slot", "time_format"), MEANS)

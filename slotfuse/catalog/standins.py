@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from slotfuse import schemas
 from slotfuse.catalog.registry import table
 from slotfuse.functions.answers import LIKERT_SCORES
-from slotfuse.functions.timeslots import clock_text, second_of_day, slot_of_day
+from slotfuse.functions.timeslots import second_of_day, slot_of_day
 from slotfuse.operators.joins import interval_join
 from slotfuse.operators.sensors import wide_slot_means
 
@@ -111,14 +111,12 @@ def device_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
         "start_second",
         "finish_second",
     )
-    wide = wide_slot_means(
-        placed, ["class_id", "participant_id", "slot"], EVENT_CHANNELS, channel="event_type"
-    )
-    return wide.select(
-        "class_id",
-        "participant_id",
-        clock_text(F.col("slot")).alias("time_format"),
-        *EVENT_CHANNELS.values(),
+    return wide_slot_means(
+        placed,
+        ["class_id", "participant_id", "slot"],
+        EVENT_CHANNELS,
+        channel="event_type",
+        keep_stray=False,
     )
 
 

@@ -8,7 +8,7 @@ from slotfuse.catalog import standins
 from slotfuse.catalog.registry import query, rounded
 from slotfuse.catalog.standins import with_views
 from slotfuse.functions import answers
-from slotfuse.functions.timeslots import clock_text
+from slotfuse.functions.timeslots import clock_text, with_clock_seconds, with_clock_text
 from slotfuse.operators import profile
 from slotfuse.operators.conform import drop_incomplete
 from slotfuse.operators.prepare import impute_mean
@@ -245,9 +245,10 @@ def _participants(spark, sf_dir, counted=True):
 )
 def join_fusion(spark, sf_dir):
     """Sensor slots with what was answered in them, a row per answer."""
-    rows = fusion.join_slots(standins.device_slots(spark, sf_dir), _participants(spark, sf_dir, counted=False))
+    participants = with_clock_seconds(_participants(spark, sf_dir, counted=False), "time", "slot")
+    rows = fusion.join_slots(standins.device_slots(spark, sf_dir), participants)
     return rounded(
-        rows.select(
+        with_clock_text(rows, "slot", "time_format").select(
             "class_id", "room", "student_id", "gender_code", "age", "time_format", *MEANS, "engagement_level"
         ),
         MEANS,
@@ -265,7 +266,7 @@ def join_fusion(spark, sf_dir):
 )
 def impute_means(spark, sf_dir):
     """M1: missing means replaced by the table's mean."""
-    slots = standins.device_slots(spark, sf_dir)
+    slots = with_clock_text(standins.device_slots(spark, sf_dir), "slot", "time_format")
     columns = list(fusion.IMPUTED)
     filled = impute_mean(slots, columns)
     return rounded(filled.select("class_id", "participant_id", "time_format", *columns), columns)

@@ -6,7 +6,7 @@ runs; the `HH:mm:ss` text is only written at the edges.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SLOT_SECONDS = 300
@@ -46,6 +46,20 @@ def clock_seconds(text: Column) -> Column:
     return part(1) * 3600 + part(2) * 60 + part(3)
 
 
+def with_clock_text(df: DataFrame, slot: str, name: str) -> DataFrame:
+    """Replace seconds after midnight by their text, at the same place."""
+    return df.select(
+        *[clock_text(F.col(c)).alias(name) if c == slot else F.col(c) for c in df.columns]
+    )
+
+
+def with_clock_seconds(df: DataFrame, text: str, name: str) -> DataFrame:
+    """Replace clock text by seconds after midnight, at the same place."""
+    return df.select(
+        *[clock_seconds(F.col(c)).alias(name) if c == text else F.col(c) for c in df.columns]
+    )
+
+
 def time_of_day(ts: Column) -> Column:
     return F.date_format(ts, "HH:mm:ss")
 

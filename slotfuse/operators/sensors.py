@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from slotfuse.functions.timeslots import SLOT_SECONDS, clock_text, slot_of_day
+from slotfuse.functions.timeslots import SLOT_SECONDS, slot_of_day
 from slotfuse.sources.sensor_files import with_path_keys
 
 
@@ -23,20 +23,24 @@ def wide_slot_means(
     channels: Mapping[str, str],
     channel: str = "channel",
     value: str = "value",
+    keep_stray: bool = True,
 ) -> DataFrame:
     """All channels in one pass: a row per key, a mean per channel.
 
     The same rows as averaging each channel alone and joining the results full outer,
     from one scan and one exchange of partial sums. A channel that never occurs keeps
     its column, all NULL.
+
+    `keep_stray` keeps rows with a NULL in the keys apart by channel, as a join would.
+    Ahead of an inner join on the keys, which drops those rows, it should be off: the
+    result is then partitioned by the keys alone and the join moves it no more.
     """
     readings = readings.where(F.col(channel).isin(*channels))
-    stray = _stray_mark(keys, F.col(channel))
     means = [
         F.avg(F.when(F.col(channel) == code, F.col(value))).alias(name)
         for code, name in channels.items()
     ]
-    return readings.groupBy(*keys, stray).agg(*means).drop("_stray")
+    return _by_keys(readings, keys, channel, keep_stray, means)
 
 
 def merge_channels(frames: Mapping[str, DataFrame], keys: Sequence[str]) -> DataFrame:
@@ -57,21 +61,27 @@ def merge_channels(frames: Mapping[str, DataFrame], keys: Sequence[str]) -> Data
             for name, frame in frames.items()
         ],
     )
-    stray = _stray_mark(keys, F.col("_channel"))
-    return stacked.groupBy(*keys, stray).agg(*[F.max(n).alias(n) for n in names]).drop("_stray")
+    return _by_keys(stacked, keys, "_channel", True, [F.max(n).alias(n) for n in names])
 
 
-def _stray_mark(keys: Sequence[str], channel: Column) -> Column:
-    """NULL for complete keys, else the channel.
+def _by_keys(
+    df: DataFrame, keys: Sequence[str], channel: str, keep_stray: bool, aggregates: list[Column]
+) -> DataFrame:
+    """Group by the keys; rows without a full key by channel as well, if they are kept.
 
-    NULL keys do not join, so rows of different channels without a full key stay apart.
+    NULL keys do not join, so such rows of different channels never share a row.
     """
     incomplete = reduce(Column.__or__, [F.col(k).isNull() for k in keys])
-    return F.when(incomplete, channel).alias("_stray")
+    if not keep_stray:
+        return df.where(~incomplete).groupBy(*keys).agg(*aggregates)
+    stray = F.when(incomplete, F.col(channel)).alias("_stray")
+    return df.groupBy(*keys, stray).agg(*aggregates).drop("_stray")
 
 
-def sensor_slots(readings: DataFrame, channels: Mapping[str, str]) -> DataFrame:
-    """Readings of a file tree -> class_id, participant_id, time_format and the means.
+def sensor_slots(
+    readings: DataFrame, channels: Mapping[str, str], keep_stray: bool = True
+) -> DataFrame:
+    """Readings of a file tree -> class_id, participant_id, slot (seconds) and the means.
 
     Sums are first taken per file and slot, so the path is taken apart once per slot
     and not once per reading.
@@ -88,16 +98,8 @@ def sensor_slots(readings: DataFrame, channels: Mapping[str, str]) -> DataFrame:
         return F.try_divide(total, F.sum(F.when(here, F.col("n"))))
 
     keyed = keyed.where(F.col("channel").isin(*channels))
-    return (
-        keyed.groupBy(*keys, _stray_mark(keys, F.col("channel")))
-        .agg(*[mean(code).alias(name) for code, name in channels.items()])
-        .select(
-            "class_id",
-            "participant_id",
-            clock_text(F.col("slot")).alias("time_format"),
-            *channels.values(),
-        )
-    )
+    means = [mean(code).alias(name) for code, name in channels.items()]
+    return _by_keys(keyed, keys, "channel", keep_stray, means)
 
 
 def dense_slots(

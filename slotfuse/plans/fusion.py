@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from slotfuse.functions.timeslots import clock_text, with_clock_seconds
 from slotfuse.operators.prepare import impute_mean
 from slotfuse.schemas import FUSED, MEANS
 
@@ -14,14 +15,14 @@ IMPUTED = ("eda_mean", "ibi_mean")
 
 
 def join_slots(slots: DataFrame, participants: DataFrame) -> DataFrame:
-    """Slots of a participant in a class with what they answered in that slot."""
-    answers = participants.withColumnsRenamed({"class_id": "survey_class_id", "time": "survey_time"})
-    return slots.join(
-        answers,
-        (slots["class_id"] == answers["survey_class_id"])
-        & (slots["participant_id"] == answers["student_id"])
-        & (slots["time_format"] == answers["survey_time"]),
-        "inner",
+    """Slots of a participant in a class with what they answered in that slot.
+
+    Both sides have `slot` in seconds, so sensor slots stay where their aggregation
+    left them. Answers lose their own copies of the keys.
+    """
+    answers = participants.withColumnRenamed("student_id", "participant_id")
+    return slots.join(answers, ["class_id", "participant_id", "slot"], "inner").withColumnRenamed(
+        "participant_id", "student_id"
     )
 
 
@@ -30,18 +31,27 @@ def fuse(
 ) -> DataFrame:
     """Join, impute over all rows including repeated ones, drop repeated rows.
 
-    `participants` may be counted (`copies`). Rows are first grouped with their number,
-    so the means need no second look at them; the grouping contains the join keys and
-    adds no exchange.
+    `participants` may be counted (`copies`). Rows are grouped with their number before
+    they are used, once for the means and once for the result: both sides of the join
+    are then shuffled once for both uses, and the grouping, which contains the join
+    keys, adds no exchange.
     """
     if "copies" not in participants.columns:
         participants = participants.withColumn("copies", F.lit(1).cast("long"))
-    keys = ["class_id", "participant_id", "time_format"]
+    keys = ["class_id", "student_id", "slot"]
     carried = ["room", "gender_code", "age", *MEANS, "engagement_level"]
     rows = join_slots(slots, participants).groupBy(*keys, *carried).agg(
         F.sum("copies").alias("copies")
     )
+    # The filter keeps `copies` in the plan here as well, so the two uses stay alike.
     filled = impute_mean(rows.where(F.col("copies") > 0), imputed, copies="copies")
-    return filled.withColumnsRenamed(
-        {"participant_id": "student_id", "time_format": "timestamp"}
-    ).select(*FUSED.names).distinct()
+    distinct = filled.select(*keys, *carried).distinct()
+    return distinct.withColumn("timestamp", clock_text(F.col("slot"))).select(*FUSED.names)
+
+
+def fuse_tables(slots: DataFrame, participants: DataFrame) -> DataFrame:
+    """`fuse` for the two tables as they are stored, with times as text."""
+    return fuse(
+        with_clock_seconds(slots, "time_format", "slot"),
+        with_clock_seconds(participants, "time", "slot"),
+    )

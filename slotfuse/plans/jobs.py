@@ -50,7 +50,7 @@ def fuse(
     students = load_students(spark, participant_dir)
     classes = read_table(spark, _inside(class_dir, "class_table.csv"), schemas.CLASS_TABLE)
     answers = read_table(spark, _inside(survey_dir, "student_survey.csv"), schemas.STUDENT_SURVEY)
-    slots = sensor_slots(read_readings(spark, wearable_dir), schemas.CHANNELS)
+    slots = sensor_slots(read_readings(spark, wearable_dir), schemas.CHANNELS, keep_stray=False)
     participants = survey.counted_participants(students, answers, classes)
     write_table(fusion.fuse(slots, participants), out)
 

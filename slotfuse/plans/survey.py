@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slotfuse.functions.answers import binary_code, engagement_level, likert_total
-from slotfuse.functions.timeslots import clock_text, second_of_day, slot_of_day
+from slotfuse.functions.timeslots import second_of_day, slot_of_day, with_clock_text
 from slotfuse.operators.joins import interval_join, keep_left_join
 from slotfuse.schemas import ENGAGE, PARTICIPANT_SURVEY
 
@@ -80,13 +80,14 @@ def _complete(students: DataFrame, answers: DataFrame, hours: DataFrame) -> Data
 def participant_survey(student: DataFrame, survey: DataFrame, classes: DataFrame) -> DataFrame:
     """The participant survey table, without rows that miss anything."""
     rows = _complete(coded_students(student), scored_answers(survey), class_hours(classes))
-    rows = rows.withColumn("time", clock_text(F.col("slot")))
-    return rows.select(*PARTICIPANT_SURVEY.names)
+    return with_clock_text(rows, "slot", "time").select(*PARTICIPANT_SURVEY.names)
 
 
 def counted_participants(student: DataFrame, survey: DataFrame, classes: DataFrame) -> DataFrame:
-    """`participant_survey` with equal rows counted in `copies` instead of repeated."""
+    """`participant_survey` on its way to the fusion.
+
+    Equal rows are counted in `copies` instead of repeated, and the time is still
+    `slot`, in seconds.
+    """
     answers = counted_answers(scored_answers(survey))
-    rows = _complete(coded_students(student), answers, class_hours(classes))
-    rows = rows.withColumn("time", clock_text(F.col("slot")))
-    return rows.select(*PARTICIPANT_SURVEY.names, "copies")
+    return _complete(coded_students(student), answers, class_hours(classes))
