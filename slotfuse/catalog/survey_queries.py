@@ -8,7 +8,7 @@ from slotfuse.catalog import standins
 from slotfuse.catalog.registry import query, rounded
 from slotfuse.catalog.standins import with_views
 from slotfuse.functions import answers
-from slotfuse.functions.timeslots import clock_text, with_clock_seconds, with_clock_text
+from slotfuse.functions.timeslots import clock_text, with_clock_text
 from slotfuse.operators import profile
 from slotfuse.operators.conform import drop_incomplete
 from slotfuse.operators.prepare import impute_mean
@@ -18,6 +18,14 @@ from slotfuse.schemas import ENGAGE, MEANS, PARTICIPANT_SURVEY
 _SQL_MEANS = ", ".join(f"round({m},6) as {m}" for m in MEANS)
 
 
+def _tables(spark, sf_dir):
+    return (
+        standins.students(spark, sf_dir),
+        standins.surveys(spark, sf_dir),
+        standins.timetable(spark, sf_dir),
+    )
+
+
 def _scores(name):
     return (
         f"cast(case {name} when 'Strongly agree' then 2 when 'Somewhat agree' then 1 "
@@ -224,16 +232,7 @@ def join_interval_right(spark, sf_dir):
 @query(with_views(f"select {', '.join(PARTICIPANT_SURVEY.names)} from lk_participants", "lk_participants"))
 def join_interval_inner(spark, sf_dir):
     """The participant survey, nothing missing."""
-    return survey.participant_survey(
-        standins.students(spark, sf_dir), standins.surveys(spark, sf_dir), standins.timetable(spark, sf_dir)
-    )
-
-
-def _participants(spark, sf_dir, counted=True):
-    build = survey.counted_participants if counted else survey.participant_survey
-    return build(
-        standins.students(spark, sf_dir), standins.surveys(spark, sf_dir), standins.timetable(spark, sf_dir)
-    )
+    return survey.participant_survey(*_tables(spark, sf_dir))
 
 
 @query(
@@ -245,8 +244,8 @@ def _participants(spark, sf_dir, counted=True):
 )
 def join_fusion(spark, sf_dir):
     """Sensor slots with what was answered in them, a row per answer."""
-    participants = with_clock_seconds(_participants(spark, sf_dir, counted=False), "time", "slot")
-    rows = fusion.join_slots(standins.device_slots(spark, sf_dir), participants)
+    answered = survey.placed_answers(*_tables(spark, sf_dir))
+    rows = fusion.join_slots(standins.device_slots(spark, sf_dir), answered)
     return rounded(
         with_clock_text(rows, "slot", "time_format").select(
             "class_id", "room", "student_id", "gender_code", "age", "time_format", *MEANS, "engagement_level"
@@ -279,7 +278,7 @@ def impute_means(spark, sf_dir):
 )
 def distinct_rows(spark, sf_dir):
     """Whole rows without repetition."""
-    rows = _participants(spark, sf_dir, counted=False)
+    rows = survey.participant_survey(*_tables(spark, sf_dir))
     return rows.select("class_id", "student_id", "time", "engagement_level").distinct()
 
 
@@ -295,7 +294,8 @@ def distinct_rows(spark, sf_dir):
 )
 def flagship_fusion(spark, sf_dir):
     """Sensors and questionnaires fused, imputed and deduplicated."""
-    fused = fusion.fuse(standins.device_slots(spark, sf_dir), _participants(spark, sf_dir))
+    participants = survey.counted_participants(*_tables(spark, sf_dir))
+    fused = fusion.fuse(standins.device_slots(spark, sf_dir), participants)
     return rounded(fused, MEANS)
 
 

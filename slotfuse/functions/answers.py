@@ -58,5 +58,5 @@ def list_items(column: str, separator: str = ",", trim: bool = False) -> Column:
     """One row per item of a separated list; rows without a list vanish."""
     items = F.split(F.col(column), separator)
     if trim:
-        items = F.transform(items, F.trim)
+        items = F.transform(items, lambda item: F.trim(item))
     return F.explode(items)

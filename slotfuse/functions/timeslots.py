@@ -38,10 +38,10 @@ def clock_text(seconds: Column) -> Column:
 
 
 def clock_seconds(text: Column) -> Column:
-    """Seconds after midnight of `HH:mm:ss`; anything else becomes NULL."""
+    """Seconds after midnight of `HH:mm:ss`; NULL where a part is missing or no number."""
 
-    def part(group: int) -> Column:
-        return F.regexp_extract(text, r"^(\d{1,2}):(\d{2}):(\d{2})$", group).try_cast("int")
+    def part(place: int) -> Column:
+        return F.split_part(text, F.lit(":"), F.lit(place)).try_cast("int")
 
     return part(1) * 3600 + part(2) * 60 + part(3)
 

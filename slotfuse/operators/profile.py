@@ -151,8 +151,8 @@ def histogram(df: DataFrame, column: str, bins: int = 12) -> DataFrame:
     ).scalar()
     lo, hi = ends["lo"], ends["hi"]
     place = F.least(F.floor((number - lo) / (hi - lo) * bins), F.lit(bins - 1)).cast("int")
-    # One row of partial counts per task is all that moves.
-    counted = df.select(place.alias("_bin")).agg(
+    # One row of partial counts per task is all that moves. (`least` skips NULL.)
+    counted = df.where(number.isNotNull()).select(place.alias("_bin")).agg(
         F.array(*[F.count_if(F.col("_bin") == b) for b in range(bins)]).alias("_counts")
     )
     width = (hi - lo) / bins

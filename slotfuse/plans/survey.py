@@ -77,17 +77,18 @@ def _complete(students: DataFrame, answers: DataFrame, hours: DataFrame) -> Data
     )
 
 
+def placed_answers(student: DataFrame, survey: DataFrame, classes: DataFrame) -> DataFrame:
+    """A row per answer and class it was given in, time as `slot` seconds, nothing missing."""
+    return _complete(coded_students(student), scored_answers(survey), class_hours(classes))
+
+
 def participant_survey(student: DataFrame, survey: DataFrame, classes: DataFrame) -> DataFrame:
-    """The participant survey table, without rows that miss anything."""
-    rows = _complete(coded_students(student), scored_answers(survey), class_hours(classes))
+    """`placed_answers` as the participant survey table."""
+    rows = placed_answers(student, survey, classes)
     return with_clock_text(rows, "slot", "time").select(*PARTICIPANT_SURVEY.names)
 
 
 def counted_participants(student: DataFrame, survey: DataFrame, classes: DataFrame) -> DataFrame:
-    """`participant_survey` on its way to the fusion.
-
-    Equal rows are counted in `copies` instead of repeated, and the time is still
-    `slot`, in seconds.
-    """
+    """`placed_answers` with equal rows counted in `copies` instead of repeated."""
     answers = counted_answers(scored_answers(survey))
     return _complete(coded_students(student), answers, class_hours(classes))
