@@ -9,8 +9,9 @@ from slotfuse.catalog.registry import query, rounded, table
 from slotfuse.operators.conform import features_and_label
 from slotfuse.operators.prepare import hash_split, standardise
 from slotfuse.operators.report import classification_report as report
-from slotfuse.plans import fusion, survey, training
-from slotfuse.sources.staging import stage_table
+from slotfuse.plans import fusion, jobs, survey
+from slotfuse.sources.staging import fresh_path
+from slotfuse.sources.tables import write_json, write_table
 
 _SQL_BUCKET = "cast('0x' || substr(md5(cast({0} as varchar)),1,8) as bigint) % 100"
 
@@ -63,8 +64,7 @@ def numeric_features(spark, sf_dir):
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 
 
-@query(
-    """with scored as (select cast(quality as varchar) as label,
+_SQL_REPORT = """with scored as (select cast(quality as varchar) as label,
         case when length(text) >= 500 then '1' else '0' end as prediction
         from labels l join documents d on l.doc_id=d.doc_id),
     classes as (select label as class from scored union select prediction from scored),
@@ -80,7 +80,9 @@ def numeric_features(spark, sf_dir):
     union all select 'weighted avg', sum(p*actual)/sum(actual), sum(r*actual)/sum(actual), sum(f*actual)/sum(actual), sum(actual) from per_class)
     select "row", round(cast(p as double),6) as precision, round(cast(r as double),6) as recall,
     round(cast(f as double),6) as f1_score, cast(support as bigint) as support from rows"""
-)
+
+
+@query(_SQL_REPORT)
 def classification_report(spark, sf_dir):
     """Report of a fixed rule (long texts are good) against the labels."""
     rule = F.when(F.length("text") >= 500, 1).otherwise(0)
@@ -88,14 +90,24 @@ def classification_report(spark, sf_dir):
     return rounded(report(scored, "quality", "prediction"), ["precision", "recall", "f1_score"])
 
 
+@query(_SQL_REPORT)
+def metrics_json(spark, sf_dir):
+    """The report written as JSON and read back."""
+    metrics = classification_report(spark, sf_dir)
+    path = fresh_path(spark, "metrics") + ".json"
+    write_json(metrics, path)
+    return spark.read.schema(metrics.schema).json(path)
+
+
 @query()
 def train_engagement(spark, sf_dir):
-    """M4-M6: fused table split, boosted trees fitted, test part scored."""
+    """Fused table split and stored, boosted trees fitted, saved and scored."""
     participants = survey.counted_participants(
         standins.students(spark, sf_dir), standins.surveys(spark, sf_dir), standins.timetable(spark, sf_dir)
     )
-    fused = stage_table(fusion.fuse(standins.device_slots(spark, sf_dir), participants), "fused")
-    train, test = hash_split(fused, ["class_id", "student_id", "timestamp"])
-    _, scored = training.fit_and_predict(train, test, iterations=5, learning_rate=0.1)
-    metrics = report(scored, "engagement_level", "prediction_label")
+    folder = fresh_path(spark, "engagement")
+    fused, train, test = (f"{folder}/{name}.csv" for name in ("fused", "train", "test"))
+    write_table(fusion.fuse(standins.device_slots(spark, sf_dir), participants), fused)
+    jobs.prepare(spark, fused, train, test)
+    metrics = jobs.train(spark, train, test, folder, folder, iterations=5, learning_rate=0.1)
     return rounded(metrics, ["precision", "recall", "f1_score"])

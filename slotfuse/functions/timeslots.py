@@ -77,5 +77,5 @@ def floor_to_slot(ts: Column, minutes: int = SLOT_SECONDS // 60) -> Column:
 
 
 def minutes_between(start: Column, finish: Column) -> Column:
-    """Length in minutes to one decimal, on whole seconds."""
-    return F.round((F.unix_timestamp(finish) - F.unix_timestamp(start)) / 60, 1)
+    """Length in minutes to one decimal, on whole seconds; no zone comes into it."""
+    return F.round(F.timestamp_diff("SECOND", start, finish) / 60, 1)

@@ -6,19 +6,30 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Bound for a broadcast whose size Spark cannot estimate (an exploded table).
-MAX_BROADCAST_ROWS = 500_000
+MAX_BROADCAST_BYTES = 64 << 20
 BUCKET_SECONDS = 1800
 
+_FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DatetimeType)
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast after counting; beyond the bound, a sort-merge join that AQE may split.
+
+def measured_bytes(df: DataFrame) -> int:
+    """Size of a table's rows in memory, by one aggregate over it."""
+    free = [f.name for f in df.schema.fields if not isinstance(f.dataType, _FIXED_WIDTH)]
+    text = [F.sum(F.octet_length(F.col(f"`{c}`").cast("string"))) for c in free]
+    sizes = df.agg(F.count("*") * (16 + 8 * len(df.columns)), *text).first()
+    return sum(size or 0 for size in sizes)
+
+
+def broadcast_if_bounded(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Broadcast after measuring; beyond the bound, a sort-merge join that AQE may split.
 
     For tables behind an explode, where the optimizer's estimate is that of the table
     before it. All other joins are left to the optimizer's own size check.
     """
-    if df.count() <= max_rows:
+    if measured_bytes(df) <= max_bytes:
         return F.broadcast(df)
     return df.hint("merge")
 
@@ -45,7 +56,7 @@ def interval_join(
     end: str,
     how: str = "inner",
     bucket: int = BUCKET_SECONDS,
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Join points to the intervals they lie in, both ends included.
 
@@ -72,7 +83,7 @@ def interval_join(
             left[point] <= right[end],
         ]
 
-    small = broadcast_if_bounded(spread, max_broadcast_rows)
+    small = broadcast_if_bounded(spread, max_broadcast_bytes)
     matched = with_bucket.join(small, meets(with_bucket, small), "inner").drop(
         "_bucket", "_point_bucket"
     )

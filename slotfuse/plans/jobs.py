@@ -1,10 +1,16 @@
-"""The three batch stages, each callable on URIs and from spark-submit.
+"""The batch stages, each callable on URIs and from the command line.
 
-    spark-submit -m slotfuse.plans.jobs fuse PARTICIPANTS SURVEY CLASSES WEARABLES OUT
-    spark-submit -m slotfuse.plans.jobs prepare FUSED TRAIN_OUT TEST_OUT
-    spark-submit -m slotfuse.plans.jobs train --train-data .. --test-data .. \
+    python -m slotfuse.plans.jobs fuse PARTICIPANTS SURVEY CLASSES WEARABLES OUT
+    python -m slotfuse.plans.jobs prepare FUSED TRAIN_OUT TEST_OUT
+    python -m slotfuse.plans.jobs train --train-data .. --test-data .. \
         --model-output-dir .. --metric-output-dir ..
 
+`fuse` is `sensors` and `participants` followed by `combine`, which can be run alone:
+
+    python -m slotfuse.plans.jobs sensors WEARABLES OUT
+    python -m slotfuse.plans.jobs participants PARTICIPANTS SURVEY CLASSES OUT
+    python -m slotfuse.plans.jobs combine SLOTS PARTICIPANTS OUT
+
 Paths may lie on any Hadoop file system. A path that ends in `.csv` is a headed CSV
 table, any other a parquet table.
 """
@@ -18,12 +24,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotfuse import schemas
+from slotfuse.functions.timeslots import with_clock_text
 from slotfuse.operators.prepare import hash_split
 from slotfuse.operators.report import classification_report
 from slotfuse.operators.sensors import sensor_slots
 from slotfuse.plans import fusion, survey, training
 from slotfuse.session import build_session
 from slotfuse.sources.sensor_files import read_readings
+from slotfuse.sources.staging import stage_table
 from slotfuse.sources.tables import read_table, write_json, write_table
 
 log = logging.getLogger(__name__)
@@ -38,6 +46,41 @@ def load_students(spark: SparkSession, participant_dir: str) -> DataFrame:
     return student.withColumnsRenamed(schemas.STUDENT_SHORT_NAMES)
 
 
+def load_survey_tables(
+    spark: SparkSession, participant_dir: str, survey_dir: str, class_dir: str
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Students, answers and timetable."""
+    return (
+        load_students(spark, participant_dir),
+        read_table(spark, _inside(survey_dir, "student_survey.csv"), schemas.STUDENT_SURVEY),
+        read_table(spark, _inside(class_dir, "class_table.csv"), schemas.CLASS_TABLE),
+    )
+
+
+def sensors(spark: SparkSession, wearable_dir: str, out: str) -> None:
+    """Sensor files -> the table of slot means, in order."""
+    slots = sensor_slots(read_readings(spark, wearable_dir), schemas.CHANNELS)
+    ordered = slots.orderBy("class_id", "participant_id", "slot")
+    write_table(with_clock_text(ordered, "slot", "time_format"), out)
+
+
+def participants(
+    spark: SparkSession, participant_dir: str, survey_dir: str, class_dir: str, out: str
+) -> None:
+    """Students, answers and timetable -> the participant survey table."""
+    tables = load_survey_tables(spark, participant_dir, survey_dir, class_dir)
+    write_table(survey.participant_survey(*tables), out)
+
+
+def combine(spark: SparkSession, slots: str, participants: str, out: str) -> None:
+    """The two tables as `sensors` and `participants` wrote them -> the fused table."""
+    fused = fusion.fuse_tables(
+        read_table(spark, slots, schemas.SENSOR_SLOTS),
+        read_table(spark, participants, schemas.PARTICIPANT_SURVEY),
+    )
+    write_table(fused, out)
+
+
 def fuse(
     spark: SparkSession,
     participant_dir: str,
@@ -46,13 +89,17 @@ def fuse(
     wearable_dir: str,
     out: str,
 ) -> None:
-    """Raw tables and sensor files -> the fused table."""
-    students = load_students(spark, participant_dir)
-    classes = read_table(spark, _inside(class_dir, "class_table.csv"), schemas.CLASS_TABLE)
-    answers = read_table(spark, _inside(survey_dir, "student_survey.csv"), schemas.STUDENT_SURVEY)
+    """Raw tables and sensor files -> the fused table.
+
+    Both sides are far smaller than what they come from and are staged, so raw files
+    are read once and never again, even if executors are lost in the joins.
+    """
     slots = sensor_slots(read_readings(spark, wearable_dir), schemas.CHANNELS, keep_stray=False)
-    participants = survey.counted_participants(students, answers, classes)
-    write_table(fusion.fuse(slots, participants), out)
+    answered = survey.counted_participants(
+        *load_survey_tables(spark, participant_dir, survey_dir, class_dir)
+    )
+    fused = fusion.fuse(stage_table(slots, "slots"), stage_table(answered, "participants"))
+    write_table(fused, out)
 
 
 def prepare(
@@ -99,16 +146,31 @@ def train(
     return spark.read.schema(metrics.schema).json(_inside(metric_output_dir, "metrics.json"))
 
 
-def _arguments() -> argparse.Namespace:
+STAGES = {
+    "sensors": sensors,
+    "participants": participants,
+    "combine": combine,
+    "fuse": fuse,
+    "prepare": prepare,
+    "train": train,
+}
+
+
+def _arguments(argv: list[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="slotfuse.plans.jobs")
     parser.add_argument("--project", help="project of the gs:// connector, if one is used")
     stages = parser.add_subparsers(dest="stage", required=True)
-    stage = stages.add_parser("fuse")
-    for name in ("participant_dir", "survey_dir", "class_dir", "wearable_dir", "out"):
-        stage.add_argument(name)
-    stage = stages.add_parser("prepare")
-    for name in ("fused", "train_out", "test_out"):
-        stage.add_argument(name)
+    positional = {
+        "fuse": ("participant_dir", "survey_dir", "class_dir", "wearable_dir", "out"),
+        "sensors": ("wearable_dir", "out"),
+        "participants": ("participant_dir", "survey_dir", "class_dir", "out"),
+        "combine": ("slots", "participants", "out"),
+        "prepare": ("fused", "train_out", "test_out"),
+    }
+    for name, paths in positional.items():
+        stage = stages.add_parser(name)
+        for path in paths:
+            stage.add_argument(path)
     stage = stages.add_parser("train")
     for name in ("train-data", "test-data", "model-output-dir", "metric-output-dir"):
         stage.add_argument(f"--{name}", required=True)
@@ -116,17 +178,16 @@ def _arguments() -> argparse.Namespace:
     stage.add_argument("--learning-rate", type=float, default=0.01)
     stage.add_argument("--depth", type=int, default=4)
     stage.add_argument("--l2-leaf-reg", type=float, default=3.0)
-    return parser.parse_args()
+    return parser.parse_args(argv)
 
 
-def main() -> None:
+def main(argv: list[str] | None = None) -> None:
     logging.basicConfig(level=logging.INFO)
-    arguments = vars(_arguments())
+    arguments = vars(_arguments(argv))
     stage, project = arguments.pop("stage"), arguments.pop("project")
     extra = {"spark.hadoop.fs.gs.project.id": project} if project else {}
     spark = build_session(f"slotfuse-{stage}", extra=extra)
-    {"fuse": fuse, "prepare": prepare, "train": train}[stage](spark, **arguments)
-    spark.stop()
+    STAGES[stage](spark, **arguments)
 
 
 if __name__ == "__main__":

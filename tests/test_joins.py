@@ -79,10 +79,12 @@ def test_interval_join_refuses_other_kinds(spark):
 
 
 def test_broadcast_only_within_the_bound(spark):
-    small = spark.range(10)
+    small = spark.createDataFrame([(1, "abc"), (2, None), (3, "äb")], "i int, s string")
+    assert joins.measured_bytes(small) == 3 * 32 + 6
+    assert joins.measured_bytes(small.where("i > 9")) == 0
     plan = lambda df: df._jdf.queryExecution().logical().toString()
-    assert "broadcast" in plan(joins.broadcast_if_bounded(small, 10))
-    assert "merge" in plan(joins.broadcast_if_bounded(small, 9))
+    assert "broadcast" in plan(joins.broadcast_if_bounded(small, 102))
+    assert "merge" in plan(joins.broadcast_if_bounded(small, 101))
 
 
 def test_keep_left_join_equals_left_join(spark, rows):

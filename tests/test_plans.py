@@ -56,21 +56,13 @@ def fused(spark, raw):
     return f"{raw}/out/fused.csv"
 
 
-def load(spark, raw):
-    return (
-        jobs.load_students(spark, f"{raw}/people"),
-        read_table(spark, f"{raw}/survey/student_survey.csv", schemas.STUDENT_SURVEY),
-        read_table(spark, f"{raw}/people/class_table.csv", schemas.CLASS_TABLE),
-    )
-
-
 def test_student_headings_are_shortened(spark, raw):
     names = jobs.load_students(spark, f"{raw}/people").columns
     assert set(schemas.STUDENT_SHORT_NAMES.values()) <= set(names)
 
 
 def test_participant_survey_equals_the_outer_joins_it_stands_for(spark, raw, rows):
-    student, answers, classes = load(spark, raw)
+    student, answers, classes = jobs.load_survey_tables(spark, f"{raw}/people", f"{raw}/survey", f"{raw}/people")
     joined = survey.students_with_answers(survey.coded_students(student), survey.scored_answers(answers))
     assert joined.where("student_id = 99 and slot is null and gender_code = 1").count() == 1
     right = survey.in_class(joined, survey.class_hours(classes), "right")
@@ -91,6 +83,22 @@ def test_fused_table(spark, fused):
     assert {r[0] for r in df.select("timestamp").distinct().collect()} == {"09:20:00", "09:40:00"}
 
 
+def test_stages_one_by_one_give_the_same_table(spark, raw, fused, rows):
+    out = [f"{raw}/out/slots.csv", f"{raw}/out/participants.csv", f"{raw}/out/combined"]
+    people, answers = f"{raw}/people", f"{raw}/survey"
+    jobs.main(["sensors", f"{raw}/wearables", out[0]])
+    jobs.main(["participants", people, answers, people, out[1]])
+    jobs.main(["combine", *out])
+    slots = spark.read.option("header", True).csv(out[0])
+    assert slots.columns == schemas.SENSOR_SLOTS.names
+
+    def close(path):
+        df = read_table(spark, path, FUSED)
+        return rows(df.withColumns({m: F.round(m, 9) for m in MEANS}))
+
+    assert close(out[2]) == close(fused)
+
+
 def test_imputation_counts_repeated_rows_and_comes_before_dropping_them(spark, rows):
     slots = spark.createDataFrame(
         [(1, 1, 0, 1.0, 1.0, 1.0, 2.0, 1.0), (1, 2, 0, 1.0, 1.0, 1.0, 6.0, 1.0), (1, 3, 0, 1.0, 1.0, 1.0, None, 1.0)],
