@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from slotfuse.functions.timeslots import SLOT_SECONDS, slot_of_day
-from slotfuse.sources.sensor_files import with_path_keys
+from slotfuse.sources.sensor_files import path_keys
 
 
 def slot_means(df: DataFrame, keys: Sequence[str], slot: Column, value: str, name: str) -> DataFrame:
@@ -86,10 +86,13 @@ def sensor_slots(
     Sums are first taken per file and slot, so the path is taken apart once per slot
     and not once per reading.
     """
-    per_file = readings.groupBy("source", slot_of_day(F.col("Time")).alias("slot")).agg(
+    timed = readings.where(F.col("Time").isNotNull())
+    per_file = timed.groupBy("source", slot_of_day(F.col("Time")).alias("slot")).agg(
         F.sum(F.col("value").cast("double")).alias("total"), F.count("value").alias("n")
     )
-    keyed = with_path_keys(per_file).where(F.col("slot").isNotNull())
+    # Generated columns: a filter on plain ones would be moved below the aggregation,
+    # by this function's own filters or a later join, and match paths per reading again.
+    keyed = per_file.select("slot", "total", "n", F.inline(F.array(F.struct(*path_keys()))))
     keys = ["class_id", "participant_id", "slot"]
 
     def mean(code: str) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotfuse import schemas
@@ -41,12 +41,17 @@ def read_readings(
     return readings.select("value", "Time", F.col("_metadata.file_path").alias("source"))
 
 
-def with_path_keys(df: DataFrame, source: str = "source") -> DataFrame:
-    """Replace `source` by class_id, participant_id and channel; no match gives NULL."""
+def path_keys(source: str = "source") -> list[Column]:
+    """class_id, participant_id and channel of a path; no match gives NULL."""
     path = F.col(source)
-    return df.select(
+    channel = F.lower(F.regexp_extract(path, PATH_KEYS, 3))
+    return [
         F.regexp_extract(path, PATH_KEYS, 1).try_cast("int").alias("class_id"),
         F.regexp_extract(path, PATH_KEYS, 2).try_cast("int").alias("participant_id"),
-        F.lower(F.regexp_extract(path, PATH_KEYS, 3)).alias("channel"),
-        *[c for c in df.columns if c != source],
-    )
+        F.nullif(channel, F.lit("")).alias("channel"),
+    ]
+
+
+def with_path_keys(df: DataFrame, source: str = "source") -> DataFrame:
+    """Replace `source` by the keys in it."""
+    return df.select(*path_keys(source), *[c for c in df.columns if c != source])
