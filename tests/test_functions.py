@@ -27,6 +27,13 @@ def test_slot_of_day(spark, text, slot, clock, kind):
     assert tuple(row) == (slot, clock, slot)
 
 
+@pytest.mark.parametrize("width", [1, 7, 45, 60, 90, 300, 1800, 3600, 7200])
+def test_slots_of_any_width(spark, width):
+    times = spark.sql("select timestamp_seconds(id * 601 + 0.5) as t, id * 601 % 86400 as s from range(300)")
+    slots = times.select(timeslots.slot_of_day(F.col("t"), width).alias("slot"), "s")
+    assert slots.where(F.col("slot") != F.col("s") - F.col("s") % width).count() == 0
+
+
 def test_slots_do_not_depend_on_the_date(spark):
     days = spark.createDataFrame([(f"20{y}-0{m}-17 10:07:30",) for y in (19, 24) for m in (1, 7)], "t string")
     slots = days.select(timeslots.slot_of_day(F.col("t").cast("timestamp"))).distinct()
