@@ -39,3 +39,23 @@ def test_entry_gives_the_fused_table(spark):
     df = entry(spark)
     assert df.columns[0] == "class_id" and df.columns[-1] == "engagement_level"
     assert df.count() > 0
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["flagship_fusion", "tumbling_absolute", "resample_dense", "class_duration_stats", "csv_glob_sensor", "floor_5min"],
+)
+def test_results_do_not_depend_on_the_session_zone(spark, db, name):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert differences(queries()[name](spark, SF_DIR), db, oracle_sql()[name])[1] == ""
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_fusion_shuffles_each_side_once_for_mean_and_rows(spark):
+    df = queries()["flagship_fusion"](spark, SF_DIR)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "ReusedExchange" in plan
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
