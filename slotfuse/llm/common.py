@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from slotfuse.sources.staging import fresh_path
 
 BLANKS = " \t\n\x0b\x0c\r"
+MAX_BROADCAST_BYTES = 32 << 20
 BLANK_RUN = r"[\x20\x09-\x0D]+"
 
 
@@ -52,3 +53,11 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def broadcast_if_small(df: DataFrame, row_bytes: int, limit: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """`df` to be broadcast if its counted rows, at `row_bytes` each, stay within `limit`.
+
+    Beyond the limit a shuffled hash join builds on it instead. Counting runs a job.
+    """
+    return df.hint("broadcast" if df.count() * row_bytes <= limit else "shuffle_hash")

@@ -56,9 +56,8 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = quality.quality_rules(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
-    return judged.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score"
+    return quality.quality_rules(
+        read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), keep=["doc_id"]
     )
 
 

@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slotfuse.llm.common import staged
+from slotfuse.llm.common import MAX_BROADCAST_BYTES, broadcast_if_small, staged
 from slotfuse.llm.trigrams import trigram_query
 
 
@@ -52,7 +52,6 @@ MORE_RULES = (
 )
 RULES = BASE_RULES + MORE_RULES
 
-MAX_BROADCAST_BYTES = 32 << 20
 CANDIDATE_BYTES = 64  # of one broadcast candidate, generously
 
 SPAN = "struct<start:int,place:int,kind:string,end:int>"
@@ -138,8 +137,8 @@ def scan_secrets(
     if grams:
         postings = staged(posting_list(docs.select("text"), grams), "secret-postings")
         chosen = staged(candidates(postings, gated), "secret-candidates")
-        small = chosen.count() * CANDIDATE_BYTES <= max_broadcast_bytes
-        chosen = chosen.hint("broadcast" if small else "shuffle_hash").withColumnsRenamed({"key": key, "kinds": kinds})
+        chosen = chosen.withColumnsRenamed({"key": key, "kinds": kinds})
+        chosen = broadcast_if_small(chosen, CANDIDATE_BYTES, max_broadcast_bytes)
         docs = docs.withColumn(key, digest(F.col("text"))).join(chosen, key, "left")
     else:
         docs = docs.withColumns({key: F.lit(0), kinds: F.array().cast("array<string>")})
