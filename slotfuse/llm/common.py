@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,6 +59,19 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let the executors' Python import this package, once per application."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        _SHIPPED.add(context.applicationId)
+        package = Path(__file__).resolve().parent.parent
+        name = os.path.join(tempfile.mkdtemp(prefix="slotfuse-ship-"), "slotfuse_ship")
+        context.addPyFile(shutil.make_archive(name, "zip", package.parent, package.name))
+
+
 def broadcast_if_small(df: DataFrame, row_bytes: int, limit: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """`df` to be broadcast if its counted rows, at `row_bytes` each, stay within `limit`.
 

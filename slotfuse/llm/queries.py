@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from slotfuse.llm import chat, mixing, quality, secrets
+from slotfuse.llm import chat, mixing, quality, secrets, simhash, tokens
 from slotfuse.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,6 +54,12 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(read_table(spark, sf_dir, "documents")).drop("copies")
 
 
+@query()
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return tokens.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json")).drop("text")
+
+
 @query()
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(
@@ -67,6 +73,11 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_digest(secrets.scan_secrets(docs))
 
 
+@query()
+def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read_table(spark, sf_dir, "documents")).drop("fp")
+
+
 @query(
     r"""with c as (
   select conv_id, turn, coalesce(role,'') as role, coalesce(text,'') as text from conversations
