@@ -1,8 +1,68 @@
-"""The training-data pipeline: documents through five stages to the mix."""
+"""The training-data pipeline: documents through five stages to the mix.
 
-STAGES = []
+Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept, and
+returns a DataFrame; `run` writes it to the shared folder and reads it back for the next.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from slotfuse.llm import decontaminate, mixing, quality, secrets, simhash
+from slotfuse.llm.common import read_table, staged
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that the quality rules reject."""
+    judged = quality.quality_rules(docs, read_table(spark, sf_dir, "labels"))
+    return judged.where("kept").select(*docs.columns)
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the document with the smallest id of each group of near-duplicates."""
+    return simhash.drop_near_duplicates(docs, shingle=4, radius=4)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that hold a benchmark item."""
+    return decontaminate.decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replace secrets in the texts; n_chars follows where a text has changed."""
+    clean = secrets.redact(secrets.scan_secrets(docs.withColumn("whole_text", F.col("text"))))
+    changed = ~F.col("text").eqNullSafe(F.col("whole_text"))
+    n_chars = F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return clean.withColumn("n_chars", n_chars).select(*docs.columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: every document as often as it is taken, `epoch` counting its copies."""
+    mixed = mixing.mix_sources(docs, keep=docs.columns)
+    epochs = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
+    return mixed.where("copies > 0").select(*docs.columns, epochs.alias("epoch"))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", keep_good),
+    ("simhash_dedup", drop_copies),
+    ("decontaminate", drop_leaks),
+    ("secret_scan", redact_secrets),
+    ("mix_sources", mix),
+]
+
+# Fingerprints, the latent space and hashed n-grams are beyond SQL; the tests compare the
+# stages with brute-force versions.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -93,12 +93,14 @@ def mix_sources(
     order. Each source's taken words differ from its target by half a document at most
     (rows equal in id and text share one fate and count as one document). A source
     without words has target 0. An empty table gives an empty table. Columns not named
-    in `keep` are not read, so clashing names cannot arise.
+    in `keep` are not read, and added columns replace ones of the same name.
     """
+    added = ("size", "source_size", "target", "copies", "taken")
+    inner = {c: f"kept_{i}" for i, c in enumerate(c for c in keep if c not in added)}
     text = F.col("text")
     sized = staged(
         docs.select(
-            *keep,
+            *[F.col(f"`{c}`").alias(n) for c, n in inner.items()],
             F.coalesce(F.concat(F.lit("0"), F.col("source")), F.lit("1")).alias("source_key"),
             F.size(words(text)).cast("long").alias("size"),
             row_hash(seed, F.col("doc_id"), text).alias("h"),
@@ -135,6 +137,6 @@ def mix_sources(
     )
     copies = F.col("whole") + F.when(F.col("h") <= F.col("up_to"), 1).otherwise(0)
     return sized.join(limits, "source_key").select(
-        *keep, "size", "source_size", "target", copies.cast("long").alias("copies"),
+        *[F.col(n).alias(c) for c, n in inner.items()], "size", "source_size", "target", copies.cast("long").alias("copies"),
         (copies * F.col("size")).cast("long").alias("taken"),
     )

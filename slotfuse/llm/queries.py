@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from slotfuse.llm import chat, mixing, quality, secrets, simhash, tokens
+from slotfuse.llm import chat, decontaminate, extract, licenses, mixing, quality, secrets, simhash, tokens
 from slotfuse.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +25,12 @@ def query(sql: str | None = None):
     return register
 
 
+@query()
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extract.extract_text(pages).drop("html")
+
+
 @query(
     r"""with w as (
   select doc_id, case when source is null then '1' else '0' || source end as source_key,
@@ -78,6 +85,19 @@ def op7_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read_table(spark, sf_dir, "documents")).drop("fp")
 
 
+@query()
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(read_table(spark, sf_dir, "documents")).drop("spans")
+
+
+@query()
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    leaks = decontaminate.find_leaks(docs, read_table(spark, sf_dir, "benchmark"))
+    found = docs.select("doc_id", F.explode(leaks).alias("leak"))
+    return found.select("doc_id", "leak.*")
+
+
 @query(
     r"""with c as (
   select conv_id, turn, coalesce(role,'') as role, coalesce(text,'') as text from conversations

@@ -30,12 +30,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from slotfuse.llm.bktree import shard_links
-from slotfuse.llm.common import ship_package, staged
+from slotfuse.llm.common import broadcast_if_small, ship_package, staged
 from slotfuse.llm.components import components
 
 BITS = 64
 SHARD_GOAL = 256
 MOST_IN_SHARD = 4096
+DROPPED_BYTES = 32  # of one broadcast row number, generously
 
 
 def fingerprint(text: str, shingle: int) -> int:
@@ -145,6 +146,31 @@ def _link_frame(found: np.ndarray) -> pd.DataFrame:
     return pd.DataFrame(found.view(np.int64).reshape(-1, 2), columns=["a", "b"])
 
 
+def _classes(marked: DataFrame, radius: int) -> DataFrame:
+    """fp, component_id and `best`, the row that stands for the component, from id, uid, fp."""
+    # NULL ids last, so that a component's least id is found if it has one.
+    rank = F.struct(F.col("id").isNull().alias("no_id"), "id", "uid")
+    prints = staged(marked.groupBy("fp").agg(F.min(rank).alias("least")), "simhash-distinct")
+    roots = components(near_links(prints.select("fp"), radius))
+    rooted = prints.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+    rooted = rooted.select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    least = rooted.groupBy("root").agg(F.min("least").alias("best"))
+    return staged(
+        rooted.join(least, "root").select("fp", F.col("best.id").alias("component_id"), F.col("best.uid").alias("best")),
+        "simhash-classes",
+    )
+
+
+def _marked(docs: DataFrame, columns: dict[str, str], shingle: int) -> DataFrame:
+    """Staged rows with their fingerprint, and a row number that staging makes lasting."""
+    ship_package(docs.sparkSession)
+    rows = docs.select(
+        F.col("doc_id").alias("id"), *[F.col(f"`{c}`").alias(n) for c, n in columns.items()],
+        fingerprints(F.col("text"), shingle).alias("fp"),
+    )
+    return staged(rows.withColumn("uid", F.monotonically_increasing_id()), "simhash-prints")
+
+
 def near_duplicates(
     docs: DataFrame, shingle: int = 4, radius: int = 4, keep: tuple[str, ...] = ("doc_id",)
 ) -> DataFrame:
@@ -156,22 +182,24 @@ def near_duplicates(
     Repeated rows all stay. An empty table gives an empty table. Columns of `docs` that
     are not in `keep` are not read, and added columns replace ones of the same name.
     """
-    ship_package(docs.sparkSession)
     added = ("fp", "fingerprint", "component_id")
     inner = {c: f"kept_{i}" for i, c in enumerate(c for c in keep if c not in added)}
-    marked = staged(
-        docs.select(
-            F.col("doc_id").alias("id"), *[F.col(f"`{c}`").alias(n) for c, n in inner.items()],
-            fingerprints(F.col("text"), shingle).alias("fp"),
-        ),
-        "simhash-prints",
-    )
-    prints = staged(marked.groupBy("fp").agg(F.min("id").alias("least")), "simhash-distinct")
-    roots = components(near_links(prints.select("fp"), radius))
-    rooted = prints.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-    rooted = rooted.select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = staged(rooted.join(least, "root").select("fp", "component_id"), "simhash-classes")
-    return marked.join(classes, "fp").select(
-        *[F.col(n).alias(c) for c, n in inner.items()], "fp", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+    marked = _marked(docs, inner, shingle)
+    return marked.join(_classes(marked, radius), "fp").select(
+        *[F.col(n).alias(c) for c, n in inner.items()], "fp",
+        F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id",
     )
+
+
+def drop_near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
+    """`docs` with one row of each component: the one with the smallest doc_id.
+
+    Of rows equal in doc_id one stays too. Texts are staged once and not shuffled: the
+    rows to drop are broadcast while they are few, and else joined by a shuffled hash
+    join.
+    """
+    inner = {c: f"kept_{i}" for i, c in enumerate(docs.columns)}
+    marked = _marked(docs, inner, shingle)
+    worse = marked.select("fp", "uid").join(_classes(marked, radius), "fp").where("uid != best").select("uid")
+    worse = broadcast_if_small(staged(worse, "simhash-dropped"), DROPPED_BYTES)
+    return marked.join(worse, "uid", "left_anti").select(*[F.col(n).alias(c) for c, n in inner.items()])
