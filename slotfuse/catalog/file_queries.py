@@ -50,6 +50,15 @@ def csv_headed_roundtrip(spark, sf_dir):
     return read_csv_as_written(spark, path, orders.schema)
 
 
+@query("select * from documents")
+def csv_text_roundtrip(spark, sf_dir):
+    """Texts with line breaks, quotes and blanks through CSV and back."""
+    documents = table(spark, sf_dir, "documents")
+    path = fresh_path(spark, "documents") + ".csv"
+    write_table(documents, path)
+    return read_csv_as_written(spark, path, documents.schema)
+
+
 @query(_with_tree('select class_id, participant_id, channel, "Time", value from tree'))
 def csv_glob_sensor(spark, sf_dir):
     """All headless sensor files of a tree as one table."""

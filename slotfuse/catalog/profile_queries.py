@@ -121,20 +121,20 @@ def _sql_pivot(rows: str, columns: str, values: list[str]) -> str:
 @query(_sql_pivot("o_orderpriority", "o_orderstatus", STATUSES))
 def pivot_count(spark, sf_dir):
     """A count matrix, empty cells NULL."""
-    return profile.pivot_counts(table(spark, sf_dir, "orders"), "o_orderpriority", "o_orderstatus", STATUSES)
+    return profile.pivot_counts(table(spark, sf_dir, "orders"), "o_orderpriority", "o_orderstatus")
 
 
 @query(_sql_pivot("o_orderpriority", "o_orderstatus", STATUSES))
 def crosstab(spark, sf_dir):
     """The matrix of an already grouped table."""
     counts = profile.group_count(table(spark, sf_dir, "orders"), "o_orderpriority", "o_orderstatus")
-    return profile.pivot_grouped(counts, "o_orderpriority", "o_orderstatus", STATUSES, "count")
+    return profile.pivot_grouped(counts, "o_orderpriority", "o_orderstatus", "count")
 
 
 @query(_sql_pivot("o_orderstatus", "o_orderpriority", PRIORITIES))
 def pivot_transposed(spark, sf_dir):
     """A10: the matrix with rows and columns exchanged."""
-    return profile.pivot_counts(table(spark, sf_dir, "orders"), "o_orderstatus", "o_orderpriority", PRIORITIES)
+    return profile.pivot_counts(table(spark, sf_dir, "orders"), "o_orderstatus", "o_orderpriority")
 
 
 @query("select count(distinct o_custkey) as customers from orders")

@@ -116,17 +116,16 @@ def resample_dense(spark, sf_dir):
 @query(
     f"""with {_SESSIONS}, {_dense_sql('days', 'user_id, day, event_type')}
     select cast(user_id as int) as participant_id, day, strftime(slot_start,'%H:%M:%S') as time_format,
-    round(max(case when event_type='click' then mean end),6) as hr_mean,
-    round(max(case when event_type='view' then mean end),6) as temp_mean
-    from dense where event_type in ('click','view') group by 1,2,3"""
+    {", ".join(f"round(max(case when event_type='{code}' then mean end),6) as {name}" for code, name in EVENT_CHANNELS.items())}
+    from dense group by 1,2,3"""
 )
 def session_concat(spark, sf_dir):
-    """Two channels resampled apart and laid side by side on time."""
+    """All channels resampled apart and laid side by side on time."""
     days = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
     keys = ["user_id", "day"]
     channels = {
         name: dense_slots(days.where(F.col("event_type") == code), keys, "ts", "value", name)
-        for code, name in list(EVENT_CHANNELS.items())[:2]
+        for code, name in EVENT_CHANNELS.items()
     }
     merged = merge_channels(channels, [*keys, "slot_start"])
     return rounded(

@@ -134,13 +134,17 @@ def hourly_mean_band(spark, sf_dir):
 
 @query(
     with_views(
-        "select " + ", ".join(f"cast(sum(({e} is null)::int) as bigint) as {e}" for e in ENGAGE) + " from lk_survey",
+        "select "
+        + ", ".join(
+            f"cast(sum(({c} is null)::int) as bigint) as {c}" for c in ["Pid", "Week", "Weekday", "Time", *ENGAGE]
+        )
+        + " from lk_survey",
         "lk_survey",
     )
 )
 def null_profile_sum(spark, sf_dir):
     """A2: NULLs per column as sums."""
-    return profile.null_sums(standins.surveys(spark, sf_dir).select(*ENGAGE))
+    return profile.null_sums(standins.surveys(spark, sf_dir))
 
 
 @query(
@@ -272,14 +276,12 @@ def impute_means(spark, sf_dir):
 
 
 @query(
-    with_views(
-        "select distinct class_id, student_id, time, engagement_level from lk_participants", "lk_participants"
-    )
+    with_views("select distinct * from lk_participants", "lk_participants")
 )
 def distinct_rows(spark, sf_dir):
     """Whole rows without repetition."""
     rows = survey.participant_survey(*_tables(spark, sf_dir))
-    return rows.select("class_id", "student_id", "time", "engagement_level").distinct()
+    return rows.distinct()
 
 
 @query(

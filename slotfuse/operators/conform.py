@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,11 +13,20 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """The schema's columns under its names and types, in one projection.
 
     Names match without regard to case, a value that does not fit becomes NULL, other
-    columns are dropped and a missing column is an error.
+    columns are dropped and a missing column is an error. Text such as `13.0` or `1e1` is
+    a whole number: tables written with gaps in an integer column have it so.
     """
-    return df.select(
-        *[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema.fields]
-    )
+    texts = {name.lower() for name, kind in df.dtypes if kind == "string"}
+
+    def cast(field: T.StructField) -> Column:
+        column = F.col(f"`{field.name}`")
+        plain = column.try_cast(field.dataType)
+        if isinstance(field.dataType, T.IntegralType) and field.name.lower() in texts:
+            number = column.try_cast("double")
+            plain = F.coalesce(plain, F.when(number == F.floor(number), number.try_cast(field.dataType)))
+        return plain.alias(field.name)
+
+    return df.select(*[cast(f) for f in schema.fields])
 
 
 def rename(df: DataFrame, names: Mapping[str, str]) -> DataFrame:

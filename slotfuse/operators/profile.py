@@ -51,16 +51,29 @@ def distinct_count(df: DataFrame, column: str, name: str) -> DataFrame:
     return df.agg(counted.cast("long").alias(name))
 
 
-def pivot_counts(df: DataFrame, rows: str, columns: str, values: Sequence) -> DataFrame:
-    """Rows per `rows` x `columns`, a column per value; an empty cell is NULL."""
-    return df.groupBy(rows).pivot(columns, list(values)).agg(F.count(F.lit(1)))
+def _pivot_values(df: DataFrame, columns: str, values: Sequence | None, rest: str) -> tuple[DataFrame, list | None]:
+    """With a list of values, all others (NULL too) are put under `rest`."""
+    if values is None:
+        return df, None
+    known = F.when(F.col(columns).isin(list(values)), F.col(columns).cast("string")).otherwise(F.lit(rest))
+    return df.withColumn(columns, known), [*map(str, values), rest]
 
 
-def pivot_grouped(
-    counts: DataFrame, rows: str, columns: str, values: Sequence, cell: str
+def pivot_counts(
+    df: DataFrame, rows: str, columns: str, values: Sequence | None = None, rest: str = "other"
 ) -> DataFrame:
-    """Matrix of an already grouped table with one row per cell."""
-    return counts.groupBy(rows).pivot(columns, list(values)).agg(F.first(cell))
+    """Rows per `rows` x `columns`, a column per value; an empty cell is NULL.
+
+    Without `values` a first job finds them, NULL included. With them, rows of any other
+    value are counted in the column `rest`, so none is lost.
+    """
+    df, listed = _pivot_values(df, columns, values, rest)
+    return df.groupBy(rows).pivot(columns, listed).agg(F.count(F.lit(1)))
+
+
+def pivot_grouped(counts: DataFrame, rows: str, columns: str, cell: str) -> DataFrame:
+    """Matrix of an already grouped table with one row per cell; a column per value."""
+    return counts.groupBy(rows).pivot(columns).agg(F.first(cell))
 
 
 def spread_stats(df: DataFrame, key: str, value: str | Column, names: dict[str, str]) -> DataFrame:

@@ -17,6 +17,8 @@ from slotfuse.sources.staging import ensure_checkpoint_dir
 
 # Identifiers are numbers too, but say nothing about a new participant.
 IDENTIFIERS = ("class_id", "student_id")
+ROW_KEYS = ("class_id", "student_id", "timestamp")
+HELD_OUT = "_held_out"
 SEED = 42
 
 
@@ -58,34 +60,54 @@ def train_classifier(
     learning_rate: float = 0.01,
     depth: int = 4,
     validation_share: int = 10,
+    patience: int = 50,
 ) -> PipelineModel:
-    """Boosted trees on scaled features; stops early on a part cut from `train`.
-
-    The test table takes no part in the fit. Label texts are indexed in alphabetical
-    order and come back as text in `prediction_label`.
+    """Boosted trees on scaled features, as many as the held-out part of `train` is best with.
+
+    All rounds are fitted without the held-out rows and their error is followed round by
+    round; the best round before `patience` rounds without gain is kept, by fitting up to
+    it again with the same seed. The held-out part is the rows whose `HELD_OUT` column is
+    true, or a part by hash of all columns; if it is empty, or nothing else is left, all rows
+    and all rounds count. Rows without a label are left out. The test table takes no part in
+    the fit. Label texts are indexed in alphabetical order and come back as text in
+    `prediction_label`.
     """
     ensure_checkpoint_dir(train.sparkSession)
-    held_out = hash_bucket([*features, label]) < validation_share
-    train = train.select(*features, label, held_out.alias("_held_out"))
+    train = train.where(F.col(label).isNotNull())
+    if HELD_OUT not in train.columns:
+        train = train.withColumn(HELD_OUT, hash_bucket(train.columns) < validation_share)
+    train = train.select(*features, label, HELD_OUT)
     labels = StringIndexer(inputCol=label, outputCol="_label", stringOrderType="alphabetAsc")
     labels = labels.setHandleInvalid("keep").fit(train)
     scaled = [f"{c}_scaled" for c in features]
-    stages = [
-        scaling_step(train, features),
-        VectorAssembler(inputCols=scaled, outputCol="_features"),
-        labels,
-        GBTClassifier(
-            featuresCol="_features",
-            labelCol="_label",
-            maxIter=iterations,
-            stepSize=learning_rate,
-            maxDepth=depth,
-            seed=SEED,
-            validationIndicatorCol="_held_out",
-        ),
-        IndexToString(inputCol="prediction", outputCol="prediction_label", labels=labels.labels),
-    ]
-    return Pipeline(stages=stages).fit(train)
+    prepare = Pipeline(
+        stages=[scaling_step(train, features), VectorAssembler(inputCols=scaled, outputCol="_features"), labels]
+    ).fit(train)
+    ready = prepare.transform(train).select("_features", "_label", HELD_OUT)
+    watched, fitted = ready.where(HELD_OUT), ready.where(~F.col(HELD_OUT))
+    if watched.isEmpty() or fitted.isEmpty():
+        watched, fitted = None, ready
+    learner = GBTClassifier(
+        featuresCol="_features", labelCol="_label", maxIter=iterations, stepSize=learning_rate, maxDepth=depth, seed=SEED
+    )
+    trees = learner.fit(fitted)
+    if watched is not None:
+        best = best_round(trees.evaluateEachIteration(watched), patience)
+        if best < iterations:
+            trees = learner.setMaxIter(best).fit(fitted)
+    back = IndexToString(inputCol="prediction", outputCol="prediction_label", labels=labels.labels)
+    return PipelineModel(stages=[*prepare.stages, trees, back])
+
+
+def best_round(errors: Sequence[float], patience: int) -> int:
+    """The round, from 1, with the least error before `patience` rounds without gain."""
+    best = 0
+    for i, error in enumerate(errors):
+        if error < errors[best]:
+            best = i
+        elif i - best >= patience:
+            break
+    return best + 1
 
 
 def predict(model: PipelineModel, test: DataFrame) -> DataFrame:
@@ -99,7 +121,16 @@ def fit_and_predict(
     leave_out: Iterable[str] = IDENTIFIERS,
     **settings,
 ) -> tuple[PipelineModel, DataFrame]:
-    """Fit on the numeric columns of `train`, aligned with `test`; label and prediction."""
+    """Fit on the numeric columns of `train`, aligned with `test`; label and prediction.
+
+    Rows are held out by their keys, if the table has them, so that equal features fall
+    apart and a table with few distinct rows holds out its share too.
+    """
+    keys = [c for c in ROW_KEYS if c in train.columns]
+    watch = hash_bucket(keys) < settings.get("validation_share", 10) if keys else None
+    full = train
     train, test, features = features_and_label(train, test, label, leave_out)
+    if watch is not None:
+        train = full.select(*features, label, watch.alias(HELD_OUT))
     model = train_classifier(train, features, label, **settings)
     return model, predict(model, test).select(label, "prediction_label")

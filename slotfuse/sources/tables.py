@@ -10,6 +10,15 @@ from slotfuse.operators.conform import conform
 # Written and read alike, so that timestamps survive to the microsecond.
 CSV_OPTIONS = {
     "header": "true",
+    # Quotes are doubled, blanks stay, NULL has a mark of its own beside an empty text, and
+    # a quoted text may hold line breaks. Such files are read by one task each, so large
+    # tables are better handed over as parquet.
+    "escape": '"',
+    "nullValue": "\\N",
+    "emptyValue": "",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "multiLine": "true",
     "timestampFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS",
     "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss.SSSSSS",
 }
@@ -27,7 +36,7 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     columns the schema does not name (such as a row index) are not read.
     """
     if is_csv(path):
-        return conform(spark.read.option("header", True).csv(path), schema)
+        return conform(spark.read.options(**CSV_OPTIONS).csv(path), schema)
     return conform(spark.read.parquet(path), schema)
 
 
@@ -44,7 +53,7 @@ def write_table(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if is_csv(path):
-        writer.options(**CSV_OPTIONS).csv(path)
+        writer.options(**{**CSV_OPTIONS, "emptyValue": '""'}).csv(path)
     else:
         writer.parquet(path)
 

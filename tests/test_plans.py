@@ -141,3 +141,24 @@ def test_scaling_step_is_the_population_form(spark):
     df = spark.createDataFrame([(1.0, 7.0, None), (3.0, 7.0, None), (None, 7.0, None)], "x double, flat double, none double")
     scaled = training.scaling_step(df, df.columns).transform(df).select("x_scaled", "flat_scaled", "none_scaled")
     assert [tuple(r) for r in scaled.collect()] == [(-1.0, 0.0, 0.0), (1.0, 0.0, 0.0), (-2.0, 0.0, 0.0)]
+
+
+def test_training_keeps_the_rounds_that_help():
+    from slotfuse.plans.training import best_round
+
+    falling = [1.0 - i / 400 for i in range(300)]
+    assert best_round(falling, 50) == 300
+    assert best_round([3, 2, 1, *[1.5] * 60, 0.5], 50) == 3
+    assert best_round([1.0], 50) == 1
+
+
+def test_training_takes_few_distinct_rows_and_missing_labels(spark):
+    from pyspark.sql import functions as F
+
+    from slotfuse.plans.training import predict, train_classifier
+
+    label = F.when(F.col("id") % 50 == 0, None).when(F.col("a") > 1, "Engaged").otherwise("Not Engaged")
+    df = spark.range(600).select("id", (F.col("id") % 4).alias("a")).withColumn("engagement_level", label)
+    model = train_classifier(df, ["a"], iterations=3, learning_rate=0.3)
+    wrong = predict(model, df.dropna()).where("prediction_label != engagement_level")
+    assert wrong.count() == 0

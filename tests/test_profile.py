@@ -36,9 +36,10 @@ def test_distinct_count_counts_null_once(numbers, spark):
 
 def test_empty_cells_of_a_pivot_are_null(spark, rows):
     df = spark.createDataFrame([("f", "x"), ("f", "x"), ("m", "y"), ("m", None)], "s string, a string")
-    assert rows(profile.pivot_counts(df, "s", "a", ["x", "y"])) == [("f", 2, None), ("m", None, 1)]
+    assert rows(profile.pivot_counts(df, "s", "a"), "s", "x", "y", "null") == [("f", 2, None, None), ("m", None, 1, 1)]
+    assert rows(profile.pivot_counts(df, "s", "a", ["x"])) == [("f", 2, None), ("m", None, 2)]
     grouped = profile.group_count(df, "s", "a", name="n")
-    assert rows(profile.pivot_grouped(grouped, "s", "a", ["x", "y"], "n")) == [("f", 2, None), ("m", None, 1)]
+    assert rows(profile.pivot_grouped(grouped, "s", "a", "n"), "s", "x", "y", "null") == [("f", 2, None, None), ("m", None, 1, 1)]
 
 
 def test_correlation_skips_nulls_pairwise_and_constant_columns(numbers):
@@ -86,3 +87,9 @@ def test_trend_filters_one_participant(spark, rows):
                                "participant_id int, time_format string, hr_mean double")
     got = [tuple(r) for r in profile.participant_trend(df, F.lit(3), "hr_mean").collect()]
     assert got == [("09:20:00", 1.0), ("09:25:00", 2.0)]
+
+
+def test_a_pivot_loses_no_row(spark, rows):
+    df = spark.createDataFrame([("a", "x"), ("a", "y"), ("a", "z"), ("a", None)], "k string, v string")
+    assert rows(profile.pivot_counts(df, "k", "v", ["x"]), "x", "other") == [(1, 3)]
+    assert sum(rows(profile.pivot_counts(df, "k", "v").drop("k"))[0]) == 4

@@ -135,3 +135,24 @@ def test_no_temporary_folder_on_a_cluster():
 
 def test_a_local_session_gets_a_folder_of_its_own(spark):
     assert staging.shared_folder(spark) == staging.shared_folder(spark)
+
+
+def test_csv_gives_back_any_text(spark, tmp_path):
+    from slotfuse.sources.tables import read_csv_as_written, read_table, write_table
+
+    texts = ["two\nlines", 'a "quote", a comma', "", None, " blanks ", "back\\slash", "r\r\nn"]
+    df = spark.createDataFrame(list(enumerate(texts)), "n int, t string")
+    path = str(tmp_path / "t.csv")
+    write_table(df, path)
+    for back in (read_csv_as_written(spark, path, df.schema), read_table(spark, path, df.schema)):
+        assert {r["n"]: r["t"] for r in back.collect()} == dict(enumerate(texts))
+
+
+def test_whole_numbers_with_a_point_stay_whole(spark):
+    from pyspark.sql import types as T
+
+    from slotfuse.operators.conform import conform
+
+    df = spark.createDataFrame([("13.0",), ("1e1",), ("7",), ("7.5",), ("",), ("x",), (None,)], "Age string")
+    schema = T.StructType([T.StructField("Age", T.IntegerType())])
+    assert [r["Age"] for r in conform(df, schema).collect()] == [13, 10, 7, None, None, None, None]
