@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotfuse.llm import chat, decontaminate, extract, licenses, mixing, quality, secrets, simhash, tokens
+from slotfuse.llm import chat, decontaminate, extract, licenses, mixing, quality, secrets, simhash, substrings, tokens
 from slotfuse.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,11 @@ def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract.extract_text(pages).drop("html")
 
 
+@query()
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.find_repeats(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query(
     r"""with w as (
   select doc_id, case when source is null then '1' else '0' || source end as source_key,
