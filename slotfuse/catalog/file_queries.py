@@ -36,6 +36,10 @@ def _sensor_tree(spark, sf_dir) -> str:
         F.col("wk").alias("participant_id"),
         code.alias("channel"),
     )
+    # A folder's readings come together before they are written; large folders are split again.
+    readings = spark.sql(
+        "select /*+ rebalance(class_id, participant_id, channel) */ * from {readings}", readings=readings
+    )
     options = {**CSV_OPTIONS, "header": "false"}
     readings.write.options(**options).partitionBy("class_id", "participant_id", "channel").csv(root)
     return root

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from slotfuse.catalog import standins
 from slotfuse.catalog.registry import query, rounded, table
-from slotfuse.operators.conform import features_and_label
-from slotfuse.operators.prepare import hash_split, standardise
+from slotfuse.operators.conform import numeric_columns
+from slotfuse.operators.prepare import hash_split, split_part, standardise
 from slotfuse.operators.report import classification_report as report
-from slotfuse.plans import fusion, jobs, survey
+from slotfuse.plans import fusion, jobs, survey, training
 from slotfuse.sources.staging import fresh_path
-from slotfuse.sources.tables import write_json, write_table
+from slotfuse.sources.tables import read_table, write_json, write_table
 
 _SQL_BUCKET = "cast('0x' || substr(md5(cast({0} as varchar)),1,8) as bigint) % 100"
 
@@ -44,8 +45,7 @@ def zscore_fit_on_train(spark, sf_dir):
 )
 def hash_split_parts(spark, sf_dir):
     """M3: every row in exactly one part, the same in every run."""
-    train, test = hash_split(table(spark, sf_dir, "labels").select("doc_id", "quality"), ["doc_id"])
-    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+    return table(spark, sf_dir, "labels").select("doc_id", "quality", split_part(["doc_id"]).alias("part"))
 
 
 def _labelled(spark, sf_dir):
@@ -59,9 +59,8 @@ def _labelled(spark, sf_dir):
 )
 def numeric_features(spark, sf_dir):
     """Label split off, numeric columns kept, test aligned with train."""
-    train, test = hash_split(_labelled(spark, sf_dir), ["doc_id"])
-    train, test, _ = features_and_label(train, test, "quality", leave_out=["doc_id"])
-    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+    rows = _labelled(spark, sf_dir)
+    return rows.select(split_part(["doc_id"]).alias("part"), *numeric_columns(rows, ["quality", "doc_id"]), "quality")
 
 
 _SQL_REPORT = """with scored as (select cast(quality as varchar) as label,
@@ -101,6 +100,25 @@ def metrics_json(spark, sf_dir):
     return spark.read.schema(metrics.schema).json(path)
 
 
+@query(
+    f"""select cast(c_custkey as int) as student_id,
+    case when 12 + c_custkey % 6 >= 15 then 'Engaged' else 'Not Engaged' end as prediction_label
+    from customer where {_SQL_BUCKET.format('c_custkey')} >= 80"""
+)
+def predict_rule(spark, sf_dir):
+    """Trees learn a rule from a stored table; saved, loaded, applied to the rest."""
+    level = F.when(F.col("Age") >= 15, "Engaged").otherwise("Not Engaged").alias("engagement_level")
+    rows = standins.students(spark, sf_dir).select(F.col("Pid").alias("student_id"), F.col("Age").alias("age"), level)
+    folder = fresh_path(spark, "rule")
+    for name, part in zip(("train", "test"), hash_split(rows, ["student_id"])):
+        write_table(part, f"{folder}/{name}")
+    stored, rest = (read_table(spark, f"{folder}/{name}", rows.schema) for name in ("train", "test"))
+    model = training.train_classifier(stored, ["age"], iterations=10, learning_rate=0.1)
+    model.write().save(f"{folder}/model")
+    scored = training.predict(PipelineModel.load(f"{folder}/model"), rest)
+    return scored.select("student_id", "prediction_label")
+
+
 @query()
 def train_engagement(spark, sf_dir):
     """Fused table split and stored, boosted trees fitted, saved and scored."""

@@ -14,6 +14,7 @@ from slotfuse.operators.conform import drop_incomplete
 from slotfuse.operators.prepare import impute_mean
 from slotfuse.plans import fusion, survey
 from slotfuse.schemas import ENGAGE, MEANS, PARTICIPANT_SURVEY
+from slotfuse.sources.staging import stage_table
 
 _SQL_MEANS = ", ".join(f"round({m},6) as {m}" for m in MEANS)
 
@@ -249,7 +250,8 @@ def join_interval_inner(spark, sf_dir):
 def join_fusion(spark, sf_dir):
     """Sensor slots with what was answered in them, a row per answer."""
     answered = survey.placed_answers(*_tables(spark, sf_dir))
-    rows = fusion.join_slots(standins.device_slots(spark, sf_dir), answered)
+    # Staged, so that the join's own shuffle can be split where one slot has very many answers.
+    rows = fusion.join_slots(stage_table(standins.device_slots(spark, sf_dir), "slots"), answered)
     return rounded(
         with_clock_text(rows, "slot", "time_format").select(
             "class_id", "room", "student_id", "gender_code", "age", "time_format", *MEANS, "engagement_level"

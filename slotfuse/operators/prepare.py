@@ -83,3 +83,8 @@ def hash_split(
     """Deterministic split in train and test; rows with equal keys stay together."""
     in_train = hash_bucket(keys) < train_share
     return df.where(in_train), df.where(~in_train)
+
+
+def split_part(keys: Sequence[str | Column], train_share: int = 80) -> Column:
+    """The part of `hash_split` a row falls in, `train` or `test`: one pass over its input."""
+    return F.when(hash_bucket(keys) < train_share, "train").otherwise("test")

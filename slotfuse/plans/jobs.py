@@ -11,6 +11,7 @@
     python -m slotfuse.plans.jobs participants PARTICIPANTS SURVEY CLASSES OUT
     python -m slotfuse.plans.jobs combine SLOTS PARTICIPANTS OUT
 
+`fuse` and `prepare` also take the project of the gs:// connector before their paths.
 Paths may lie on any Hadoop file system. A path that ends in `.csv` is a headed CSV
 table, any other a parquet table.
 """
@@ -31,7 +32,7 @@ from slotfuse.operators.sensors import sensor_slots
 from slotfuse.plans import fusion, survey, training
 from slotfuse.session import build_session
 from slotfuse.sources.sensor_files import read_readings
-from slotfuse.sources.staging import stage_table
+from slotfuse.sources.staging import staging
 from slotfuse.sources.tables import read_table, write_json, write_table
 
 log = logging.getLogger(__name__)
@@ -92,14 +93,15 @@ def fuse(
     """Raw tables and sensor files -> the fused table.
 
     Both sides are far smaller than what they come from and are staged, so raw files
-    are read once and never again, even if executors are lost in the joins.
+    are read once and never again, even if executors are lost in the joins. The staged
+    tables are deleted once the fused one is written.
     """
     slots = sensor_slots(read_readings(spark, wearable_dir), schemas.CHANNELS, keep_stray=False)
     answered = survey.counted_participants(
         *load_survey_tables(spark, participant_dir, survey_dir, class_dir)
     )
-    fused = fusion.fuse(stage_table(slots, "slots"), stage_table(answered, "participants"))
-    write_table(fused, out)
+    with staging(spark) as stage:
+        write_table(fusion.fuse(stage(slots, "slots"), stage(answered, "participants")), out)
 
 
 def prepare(
@@ -169,8 +171,12 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     }
     for name, paths in positional.items():
         stage = stages.add_parser(name)
+        if name in ("fuse", "prepare"):
+            stage.add_argument("leading_project", nargs="?", help="the same as --project")
         for path in paths:
             stage.add_argument(path)
+        if name == "prepare":
+            stage.add_argument("--train-share", type=int, default=80)
     stage = stages.add_parser("train")
     for name in ("train-data", "test-data", "model-output-dir", "metric-output-dir"):
         stage.add_argument(f"--{name}", required=True)
@@ -178,6 +184,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     stage.add_argument("--learning-rate", type=float, default=0.01)
     stage.add_argument("--depth", type=int, default=4)
     stage.add_argument("--l2-leaf-reg", type=float, default=3.0)
+    stage.add_argument("--keep-identifiers", action="store_true")
     return parser.parse_args(argv)
 
 
@@ -185,6 +192,7 @@ def main(argv: list[str] | None = None) -> None:
     logging.basicConfig(level=logging.INFO)
     arguments = vars(_arguments(argv))
     stage, project = arguments.pop("stage"), arguments.pop("project")
+    project = arguments.pop("leading_project", None) or project
     extra = {"spark.hadoop.fs.gs.project.id": project} if project else {}
     spark = build_session(f"slotfuse-{stage}", extra=extra)
     STAGES[stage](spark, **arguments)

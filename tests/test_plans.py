@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from slotfuse import schemas
 from slotfuse.plans import fusion, jobs, survey, training
 from slotfuse.schemas import FUSED, MEANS, PARTICIPANT_SURVEY
+from slotfuse.sources import staging
 from slotfuse.sources.tables import read_table
 from test_sources import tree
 
@@ -56,6 +57,50 @@ def fused(spark, raw):
     return f"{raw}/out/fused.csv"
 
 
+def test_fuse_leaves_no_staged_table(spark, raw, monkeypatch, tmp_path):
+    monkeypatch.setattr("slotfuse.sources.staging.shared_folder", lambda _: str(tmp_path))
+    people = (f"{raw}/people", f"{raw}/survey", f"{raw}/people", f"{raw}/wearables")
+    jobs.fuse(spark, *people, f"{raw}/out/again.csv")
+    assert list(tmp_path.iterdir()) == []
+    with pytest.raises(RuntimeError), staging.staging(spark) as stage:
+        assert stage(spark.range(3), "x").count() == 3
+        raise RuntimeError
+    assert list(tmp_path.iterdir()) == []
+
+
+def test_stages_take_the_project_first_or_by_name():
+    plain = jobs._arguments(["prepare", "a", "b", "c"])
+    assert (plain.leading_project, plain.fused, plain.test_out, plain.train_share) == (None, "a", "c", 80)
+    first = jobs._arguments(["prepare", "p", "a", "b", "c", "--train-share", "70"])
+    assert (first.leading_project, first.fused, first.test_out, first.train_share) == ("p", "a", "c", 70)
+    whole = jobs._arguments(["fuse", "p", "a", "b", "c", "d", "e"])
+    assert (whole.leading_project, whole.participant_dir, whole.out) == ("p", "a", "e")
+
+
+def test_fusion_join_splits_a_hot_slot(spark):
+    """On staged slots, a slot that holds most answers is split, and no row is lost."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        keys = ("1 as class_id", "cast(id as int) as participant_id", "0 as slot")
+        slots = staging.stage_table(spark.range(50).selectExpr(*keys, "1.0 as hr_mean"), "slots")
+        hot = "cast(case when id % 5 < 2 then 7 else id % 50 end as int) as student_id"
+        answers = spark.range(0, 60_000, 1, 8).selectExpr("1 as class_id", hot, "0 as slot", "id as answer")
+        joined = fusion.join_slots(slots, answers)
+        assert len(joined.collect()) == 60_000
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
 def test_student_headings_are_shortened(spark, raw):
     names = jobs.load_students(spark, f"{raw}/people").columns
     assert set(schemas.STUDENT_SHORT_NAMES.values()) <= set(names)

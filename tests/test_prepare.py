@@ -78,3 +78,11 @@ def test_report(spark):
     assert got["accuracy"][:3] == (pytest.approx(7 / 13),) * 3
     assert got["macro avg"][1] == pytest.approx(1 / 3) and got["macro avg"][3] == 13
     assert got["weighted avg"][0] == pytest.approx((0.6 * 8 + 4 / 3) / 13)
+
+
+def test_part_column_is_the_split(spark, rows):
+    df = spark.range(200).selectExpr("id", "id % 7 as x")
+    train, test = prepare.hash_split(df, ["id"], 70)
+    parts = df.withColumn("part", prepare.split_part(["id"], 70))
+    assert rows(parts.where("part = 'train'"), "id", "x") == rows(train)
+    assert rows(parts.where("part = 'test'"), "id", "x") == rows(test)
