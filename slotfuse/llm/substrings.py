@@ -3,6 +3,10 @@
 A gear rolling hash over the text's bytes puts chunk ends where the last 16 bytes say so,
 hence an insertion moves only the chunks around it. Chunks are known by a 128-bit digest;
 of equal chunks the first, by doc_id, row and place, stays and the others are repeats.
+
+Neighbouring repeats are one span. A span counts from `least_span` bytes on, or if it is
+the whole text: a few words that two texts have in common by chance are no copy, and a
+passage of 300 bytes holds some five whole chunks, so it is found wherever it stands.
 """
 
 from __future__ import annotations
@@ -12,12 +16,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotfuse.llm.common import ship_package, staged
 
-WINDOW, LEAST, MOST, MASK = 16, 32, 512, 63  # bytes; a cut every 64 bytes on average
+WINDOW, LEAST, MOST, MASK = 16, 16, 512, 31  # bytes; chunks have 48 on average
+LEAST_SPAN = 96
 GEAR = np.random.default_rng(1).integers(0, 1 << 32, 256, dtype=np.uint32)
 
 
@@ -28,7 +33,7 @@ def chunk_ends(data: bytes) -> list[int]:
     for k in range(1, min(WINDOW, len(gears))):
         rolling[k:] += gears[:-k] << np.uint32(k)
     ends, last = [], 0
-    for cut in (np.flatnonzero((rolling >> np.uint32(WINDOW - 6)) & np.uint32(MASK) == 0) + 1).tolist():
+    for cut in (np.flatnonzero((rolling >> np.uint32(WINDOW - 5)) & np.uint32(MASK) == 0) + 1).tolist():
         while cut - last > MOST:
             last += MOST
             ends.append(last)
@@ -41,11 +46,23 @@ def chunk_ends(data: bytes) -> list[int]:
     return ends if last == len(data) else [*ends, len(data)]
 
 
-def find_repeats(docs: DataFrame) -> DataFrame:
+def spans(pieces: Column, whole: Column, least_span: int) -> Column:
+    """Sorted pieces (start, end) with neighbours joined, short spans left out unless whole."""
+    def edge(name: str, other: str, step: int) -> Column:
+        inner = lambda p, i: F.coalesce(F.get(pieces, i + step)[other] == p[name], F.lit(False))
+        return F.array_compact(F.transform(pieces, lambda p, i: F.when(~inner(p, i), p[name])))
+
+    joined = F.zip_with(
+        edge("start", "end", -1), edge("end", "start", 1), lambda a, b: F.struct(a.alias("start"), b.alias("end"))
+    )
+    return F.filter(joined, lambda s: (s["end"] - s["start"] >= least_span) | (s["end"] - s["start"] == whole))
+
+
+def find_repeats(docs: DataFrame, least_span: int = LEAST_SPAN) -> DataFrame:
     """doc_id, n_chunks, n_repeats, repeat_bytes, repeats (array of byte start, end), per row.
 
-    NULL and empty texts have no chunks; repeated rows all stay, and every chunk of the
-    later one is a repeat; NULL ids come last. An empty table gives an empty table.
+    NULL and empty texts have no chunks; repeated rows all stay, and the later one's whole
+    text is a repeat; NULL ids come last. An empty table gives an empty table.
     """
     ship_package(docs.sparkSession)
 
@@ -66,10 +83,15 @@ def find_repeats(docs: DataFrame) -> DataFrame:
     each = each.select("uid", place.alias("place"), F.col("c.end").alias("end"), F.col("c.digest").alias("digest"))
     often = each.groupBy("digest").agg(F.count(F.lit(1)).alias("n"), F.min("place").alias("first")).where("n > 1")
     later = each.join(staged(often, "substring-often"), "digest").where("place != first")
-    found = later.groupBy("uid").agg(F.sort_array(F.collect_list(F.struct(F.col("place.start").alias("start"), "end"))).alias("repeats"))
+    found = later.groupBy("uid").agg(F.sort_array(F.collect_list(F.struct(F.col("place.start").alias("start"), "end"))).alias("pieces"))
     none = F.array().cast("array<struct<start:int,end:int>>")
-    return rows.select("doc_id", "uid", F.size("chunks").cast("long").alias("n_chunks")).join(found, "uid", "left").select(
-        "doc_id", "n_chunks", F.size(F.coalesce("repeats", none)).cast("long").alias("n_repeats"),
-        F.aggregate(F.coalesce("repeats", none), F.lit(0), lambda acc, r: acc + r["end"] - r["start"]).cast("long").alias("repeat_bytes"),
-        F.coalesce("repeats", none).alias("repeats"),
+    sizes = rows.select(
+        "doc_id", "uid", F.size("chunks").cast("long").alias("n_chunks"), F.try_element_at("chunks", F.lit(-1))["end"].alias("n_bytes")
+    )
+    joined = sizes.join(found, "uid", "left")
+    kept = joined.withColumn("repeats", F.coalesce(spans(F.col("pieces"), F.col("n_bytes"), least_span), none))
+    return kept.select(
+        "doc_id", "n_chunks", F.size("repeats").cast("long").alias("n_repeats"),
+        F.aggregate("repeats", F.lit(0), lambda acc, r: acc + r["end"] - r["start"]).cast("long").alias("repeat_bytes"),
+        "repeats",
     )

@@ -2,24 +2,50 @@
 
 import random
 
-from slotfuse.llm.substrings import chunk_ends, find_repeats
+from slotfuse.llm.substrings import LEAST_SPAN, chunk_ends, find_repeats
+
+ROWS = "doc_id bigint, text string"
+
+
+def prose(rng, n, letters="abcdefé"):
+    return " ".join("".join(rng.choices(letters, k=rng.randint(2, 8))) for _ in range(n))
 
 
 def test_repeats(spark):
     rng = random.Random(2)
-    prose = lambda n: " ".join("".join(rng.choices("abcdefé", k=rng.randint(2, 8))) for _ in range(n))
-    shared = prose(120)
-    texts = [prose(200) + shared + prose(50), "x" + prose(77) + shared, prose(300), None, "", "a" * 3000]
-    rows = [*enumerate(texts), (2, texts[2])]
-    got = find_repeats(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    shared = prose(rng, 120)
+    texts = [prose(rng, 200) + shared + prose(rng, 50), "x" + prose(rng, 77) + shared, prose(rng, 300), None, "", "a" * 3000, "short"]
+    rows = [*enumerate(texts), (2, texts[2]), (9, "short")]
+    docs = spark.createDataFrame(rows, ROWS)
+    got = find_repeats(docs).collect()
     seen, want = set(), []
     for key, text in sorted(rows, key=lambda r: r[0]):
         data, last, spans = (text or "").encode(), 0, []
         for end in chunk_ends(data) if data else []:
             if data[last:end] in seen:
-                spans.append((last, end))
+                if spans and spans[-1][1] == last:
+                    spans[-1] = (spans[-1][0], end)
+                else:
+                    spans.append((last, end))
             seen.add(data[last:end])
             last = end
-        want.append((key, spans))
+        want.append((key, [s for s in spans if s[1] - s[0] >= LEAST_SPAN or s == (0, len(data))]))
     assert sorted((r["doc_id"], [tuple(x) for x in r["repeats"]]) for r in got) == sorted(want)
+    assert all(r["n_repeats"] == len(r["repeats"]) and r["repeat_bytes"] == sum(b - a for a, b in r["repeats"]) for r in got)
     assert next(r for r in got if r["doc_id"] == 1)["repeat_bytes"] > 0.5 * len(shared)
+    assert next(r for r in got if r["doc_id"] == 9)["repeat_bytes"] == len("short")
+    assert find_repeats(docs.where("doc_id > 99")).count() == 0
+
+
+def test_passages_are_found_and_chance_phrases_are_not(spark):
+    """Passages of 51 words at any place, among texts over one small vocabulary."""
+    rng = random.Random(4)
+    vocabulary = prose(rng, 400).split()
+    said = lambda n: " ".join(rng.choices(vocabulary, k=n))
+    passages = [said(51) for _ in range(150)]
+    first = [f"{said(rng.randint(20, 90))} {p} {said(40)}" for p in passages]
+    again = [f"{said(rng.randint(20, 90))} {p} {said(40)}" for p in passages]
+    clean = [said(150) for _ in range(150)]
+    docs = spark.createDataFrame(list(enumerate([*clean, *first, *again])), ROWS)
+    caught = {r["doc_id"] for r in find_repeats(docs).where("n_repeats > 0").collect()}
+    assert len(caught & set(range(300, 450))) >= 147 and not caught & set(range(300))
