@@ -6,7 +6,7 @@ of equal chunks the first, by doc_id, row and place, stays and the others are re
 
 Neighbouring repeats are one span. A span counts from `least_span` bytes on, or if it is
 the whole text: a few words that two texts have in common by chance are no copy, and a
-passage of 300 bytes holds some five whole chunks, so it is found wherever it stands.
+passage of 300 bytes holds some five whole chunks, so it is seldom missed.
 """
 
 from __future__ import annotations
