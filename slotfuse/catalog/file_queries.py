@@ -91,6 +91,18 @@ def sensor_file_slots(spark, sf_dir):
     return rounded(with_clock_text(sensor_slots(readings, CHANNELS), "slot", "time_format"), MEANS)
 
 
+_SQL_ABSOLUTE = _SQL_SLOTS.replace(
+    f"{SQL_CLOCK.format('sl')} as time_format", "time_bucket(interval '5 minutes', \"Time\") as slot"
+)
+
+
+@query(_with_tree(f"{_SQL_ABSOLUTE} from tree group by 1,2,3"))
+def sensor_file_absolute(spark, sf_dir):
+    """Sensor files to slots on absolute time, days apart."""
+    readings = read_readings(spark, _sensor_tree(spark, sf_dir), time_type="timestamp_ntz")
+    return rounded(sensor_slots(readings, CHANNELS, absolute=True), MEANS)
+
+
 @query(_with_tree(f"{_SQL_SLOTS}, cast(null as double) as gsr_mean from tree group by 1,2,3"))
 def channel_or_empty(spark, sf_dir):
     """A channel without any file keeps its column, all NULL."""

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from slotfuse.functions.timeslots import SLOT_SECONDS, slot_of_day
+from slotfuse.functions.timeslots import SLOT_SECONDS, floor_to_slot, slot_of_day
 from slotfuse.sources.sensor_files import path_keys
 
 
@@ -79,15 +79,18 @@ def _by_keys(
 
 
 def sensor_slots(
-    readings: DataFrame, channels: Mapping[str, str], keep_stray: bool = True
+    readings: DataFrame, channels: Mapping[str, str], keep_stray: bool = True, absolute: bool = False
 ) -> DataFrame:
     """Readings of a file tree -> class_id, participant_id, slot (seconds) and the means.
 
+    With `absolute` a slot is its starting time, so days stay apart.
+
     Sums are first taken per file and slot, so the path is taken apart once per slot
     and not once per reading.
     """
     timed = readings.where(F.col("Time").isNotNull())
-    per_file = timed.groupBy("source", slot_of_day(F.col("Time")).alias("slot")).agg(
+    slot = floor_to_slot(F.col("Time")) if absolute else slot_of_day(F.col("Time"))
+    per_file = timed.groupBy("source", slot.alias("slot")).agg(
         F.sum(F.col("value").cast("double")).alias("total"), F.count("value").alias("n")
     )
     # Generated columns: a filter on plain ones would be moved below the aggregation,

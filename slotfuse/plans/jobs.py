@@ -11,6 +11,10 @@
     python -m slotfuse.plans.jobs participants PARTICIPANTS SURVEY CLASSES OUT
     python -m slotfuse.plans.jobs combine SLOTS PARTICIPANTS OUT
 
+`explore` writes statistics of the three raw tables as parquet tables beside each other:
+
+    python -m slotfuse.plans.jobs explore PARTICIPANTS SURVEY CLASSES OUT
+
 `fuse` and `prepare` also take the project of the gs:// connector before their paths.
 Paths may lie on any Hadoop file system. A path that ends in `.csv` is a headed CSV
 table, any other a parquet table.
@@ -26,9 +30,10 @@ from pyspark.sql import functions as F
 
 from slotfuse import schemas
 from slotfuse.functions.timeslots import with_clock_text
-from slotfuse.operators.prepare import hash_split
+from slotfuse.operators.prepare import hash_split, impute_mean
 from slotfuse.operators.report import classification_report
 from slotfuse.operators.sensors import sensor_slots
+from slotfuse.plans import explore as exploration
 from slotfuse.plans import fusion, survey, training
 from slotfuse.session import build_session
 from slotfuse.sources.sensor_files import read_readings
@@ -104,13 +109,42 @@ def fuse(
         write_table(fusion.fuse(stage(slots, "slots"), stage(answered, "participants")), out)
 
 
+def explore(
+    spark: SparkSession, participant_dir: str, survey_dir: str, class_dir: str, out: str
+) -> None:
+    """Students, answers and timetable -> statistics, one parquet table each under `out`.
+
+    Each raw table is parsed once and staged; a report then reads its own columns only.
+    """
+    tables = load_survey_tables(spark, participant_dir, survey_dir, class_dir)
+    with staging(spark) as stage:
+        student, answers, timetable = (stage(t, "explore") for t in tables)
+        reports = {
+            **exploration.student_reports(student),
+            **exploration.questionnaire_reports(answers),
+            **exploration.timetable_reports(timetable),
+        }
+        for name, report in reports.items():
+            write_table(report, _inside(out, name))
+
+
 def prepare(
-    spark: SparkSession, fused: str, train_out: str, test_out: str, train_share: int = 80
+    spark: SparkSession,
+    fused: str,
+    train_out: str,
+    test_out: str,
+    train_share: int = 80,
+    impute_on_train: bool = False,
 ) -> None:
-    """Fused table -> train and test; a participant's slot always falls on the same side."""
+    """Fused table -> train and test; a participant's slot always falls on the same side.
+
+    With `impute_on_train` means that are still missing become those of the train part.
+    """
     rows = read_table(spark, fused, schemas.FUSED)
     keys = ["class_id", "student_id", "timestamp"]
     train, test = hash_split(rows, keys, train_share)
+    if impute_on_train:
+        train, test = (impute_mean(part, schemas.MEANS, fit_on=train) for part in (train, test))
     write_table(train, train_out)
     write_table(test, test_out)
 
@@ -152,6 +186,7 @@ STAGES = {
     "sensors": sensors,
     "participants": participants,
     "combine": combine,
+    "explore": explore,
     "fuse": fuse,
     "prepare": prepare,
     "train": train,
@@ -167,6 +202,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
         "sensors": ("wearable_dir", "out"),
         "participants": ("participant_dir", "survey_dir", "class_dir", "out"),
         "combine": ("slots", "participants", "out"),
+        "explore": ("participant_dir", "survey_dir", "class_dir", "out"),
         "prepare": ("fused", "train_out", "test_out"),
     }
     for name, paths in positional.items():
@@ -177,6 +213,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
             stage.add_argument(path)
         if name == "prepare":
             stage.add_argument("--train-share", type=int, default=80)
+            stage.add_argument("--impute-on-train", action="store_true")
     stage = stages.add_parser("train")
     for name in ("train-data", "test-data", "model-output-dir", "metric-output-dir"):
         stage.add_argument(f"--{name}", required=True)

@@ -182,6 +182,34 @@ def test_prepare_and_train(spark, raw, fused):
     assert lines["accuracy"]["f1_score"] == pytest.approx(hits / parts[1].count())
 
 
+def test_explore_writes_statistics_of_the_raw_tables(spark, raw):
+    people, out = f"{raw}/people", f"{raw}/out/explore"
+    jobs.explore(spark, people, f"{raw}/survey", people, out)
+
+    def rows(name):
+        return {tuple(r) for r in spark.read.parquet(f"{out}/{name}").collect()}
+
+    assert rows("students_by_gender") == {("female", 6), ("male", 6)}
+    assert rows("students_by_age") == {(12, 4), (13, 4), (14, 4)}
+    assert rows("survey_participants") == {(12,)}
+    assert rows("clothing") == {("shirt", 72), ("scarf", 72)}
+    assert {("Weekday", "0", 3), ("Weekday", "1", 2), ("Room", "R9", 1), ("Start_hour", "9", 5)} <= rows("class_frequencies")
+    assert rows("class_minutes") == {("long", 52.0, 60.0, 40.0)}
+    assert sum(n for _, n in rows("scores")) == 72
+
+
+def test_prepare_fills_gaps_with_means_of_the_train_part(spark, tmp_path):
+    cells = [(i, "r", i, 0, 12, "09:00:00", None if i % 5 == 0 else float(i), 1.0, 1.0, 1.0, 1.0, "Engaged") for i in range(60)]
+    fused, train, test = (f"{tmp_path}/{n}" for n in ("fused", "train", "test"))
+    spark.createDataFrame(cells, FUSED).write.parquet(fused)
+    jobs.prepare(spark, fused, train, test, impute_on_train=True)
+    seen = [r["hr_mean"] for r in spark.read.parquet(train).where(F.col("student_id") % 5 != 0).collect()]
+    for part in (train, test):
+        filled = spark.read.parquet(part).where(F.col("student_id") % 5 == 0).collect()
+        assert filled
+        assert all(r["hr_mean"] == pytest.approx(sum(seen) / len(seen)) for r in filled)
+
+
 def test_scaling_step_is_the_population_form(spark):
     df = spark.createDataFrame([(1.0, 7.0, None), (3.0, 7.0, None), (None, 7.0, None)], "x double, flat double, none double")
     scaled = training.scaling_step(df, df.columns).transform(df).select("x_scaled", "flat_scaled", "none_scaled")
