@@ -8,8 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotfuse.llm import chat, decontaminate, extract, licenses, mixing, quality, secrets, simhash, substrings, tokens
+from slotfuse.llm import (
+    chat, decontaminate, extract, licenses, manifest, mixing, quality, secrets, simhash, substrings, tokens,
+)
 from slotfuse.llm.common import read_table
+from slotfuse.llm.manifest_sql import manifest_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -125,3 +128,8 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         [(-7, 0, "user", hard), (-7, 1, "assistant", hard)], "conv_id bigint, turn bigint, role string, text string"
     )
     return chat.chat_digest(chat.format_chats(turns.unionByName(more)))
+
+
+@query(manifest_sql())
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.verify_rows(read_table(spark, sf_dir, "documents"))
