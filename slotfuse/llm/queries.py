@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotfuse.llm import (
-    chat, decontaminate, extract, licenses, manifest, mixing, quality, secrets, simhash, substrings, tokens,
+    chat, decontaminate, extract, lexical, licenses, manifest, mixing, quality, secrets, simhash, substrings, tokens,
 )
 from slotfuse.llm.common import read_table
 from slotfuse.llm.manifest_sql import manifest_sql
@@ -130,6 +130,29 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.chat_digest(chat.format_chats(turns.unionByName(more)))
 
 
+@query(
+    r"""with c as (select doc_id, row_number() over () as row, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as t from documents),
+  d as (select doc_id, row, len(t) as n, t from c where len(t) > 0),
+  totals as (select count(*) as docs, sum(n)::bigint as terms from d),
+  p as (select doc_id, row, n, term, count(*) as tf from (select doc_id, row, n, unnest(t) as term from d) group by all),
+  q as (select item_id, row_number() over () as item, list_distinct(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as t from benchmark),
+  w as (select term, cast(floor(1000 * ln((2 * docs + 2) / cast(2 * count(*) + 1 as double))) as bigint) as w
+    from p, totals group by term, docs),
+  s as (select item_id, item, doc_id, row,
+      sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // terms))))::bigint as score
+    from (select item_id, item, unnest(t) as term from q) join w using (term) join p using (term), totals group by all),
+  r as (select *, cast(row_number() over (partition by item order by score desc, doc_id nulls last) as integer) as rank
+    from s where score > 0)
+select item_id, rank, doc_id, score from r where rank <= 10"""
+)
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.rank_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 @query(manifest_sql())
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.verify_rows(read_table(spark, sf_dir, "documents"))
