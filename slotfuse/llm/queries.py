@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotfuse.llm import (
-    chat, decontaminate, extract, lexical, licenses, manifest, mixing, quality, secrets, simhash, substrings, tokens,
+    chat, decontaminate, extract, language, lexical, licenses, manifest, mixing, quality, secrets, simhash, substrings, tokens,
 )
 from slotfuse.llm.common import read_table
 from slotfuse.llm.manifest_sql import manifest_sql
@@ -156,3 +156,9 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(manifest_sql())
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.verify_rows(read_table(spark, sf_dir, "documents"))
+
+
+@query()
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return language.identify(docs, public_tokenizers.path("piece_bpe_32k.model"))
