@@ -106,11 +106,11 @@ def grow(leaves: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
 
 
 def _step(parents: DataFrame, digit: Column) -> DataFrame:
-    """From rows with children to the child that `digit` names; the others join the path."""
+    """From rows with children to the child that `digit` names, if any; the others join the path."""
     left = F.array_join(F.slice("children", F.lit(1), digit.cast("int")), "")
     right = F.array_join(F.filter("children", lambda _, i: i > digit), "")
     path = F.array_append("path", F.struct(left.alias("left"), right.alias("right")))
-    return parents.withColumns({"digest": F.get("children", digit.cast("int")), "path": path})
+    return parents.withColumns({"digest": F.get("children", digit.cast("int")), "path": path}).where("digest is not null")
 
 
 def descend(tops: DataFrame, records: Sequence[DataFrame], requests: DataFrame) -> DataFrame:
