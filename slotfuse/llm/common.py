@@ -75,6 +75,6 @@ def ship_package(spark: SparkSession) -> None:
 def broadcast_if_small(df: DataFrame, row_bytes: int, limit: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """`df` to be broadcast if its counted rows, at `row_bytes` each, stay within `limit`.
 
-    Beyond the limit a shuffled hash join builds on it instead. Counting runs a job.
+    Beyond the limit both sides are sorted and merged, which can spill. Counting runs a job.
     """
-    return df.hint("broadcast" if df.count() * row_bytes <= limit else "shuffle_hash")
+    return df.hint("broadcast" if df.count() * row_bytes <= limit else "merge")
