@@ -1,6 +1,7 @@
 """All registered queries over the test tables."""
 
 from slotfuse.catalog import (  # noqa: F401  (importing registers)
+    boosting_queries,
     file_queries,
     learning_queries,
     profile_queries,

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from slotfuse.catalog import standins
@@ -11,6 +10,7 @@ from slotfuse.operators.conform import numeric_columns
 from slotfuse.operators.prepare import hash_split, split_part, standardise
 from slotfuse.operators.report import classification_report as report
 from slotfuse.plans import fusion, jobs, survey, training
+from slotfuse.plans.boosting import BoostedTrees
 from slotfuse.sources.staging import fresh_path
 from slotfuse.sources.tables import read_table, write_json, write_table
 
@@ -114,8 +114,8 @@ def predict_rule(spark, sf_dir):
         write_table(part, f"{folder}/{name}")
     stored, rest = (read_table(spark, f"{folder}/{name}", rows.schema) for name in ("train", "test"))
     model = training.train_classifier(stored, ["age"], iterations=10, learning_rate=0.1)
-    model.write().save(f"{folder}/model")
-    scored = training.predict(PipelineModel.load(f"{folder}/model"), rest)
+    model.save(spark, f"{folder}/model")
+    scored = training.predict(BoostedTrees.load(spark, f"{folder}/model"), rest)
     return scored.select("student_id", "prediction_label")
 
 
@@ -129,5 +129,5 @@ def train_engagement(spark, sf_dir):
     fused, train, test = (f"{folder}/{name}.csv" for name in ("fused", "train", "test"))
     write_table(fusion.fuse(standins.device_slots(spark, sf_dir), participants), fused)
     jobs.prepare(spark, fused, train, test)
-    metrics = jobs.train(spark, train, test, folder, folder, iterations=5, learning_rate=0.1)
+    metrics = jobs.train(spark, train, test, folder, folder)
     return rounded(metrics, ["precision", "recall", "f1_score"])

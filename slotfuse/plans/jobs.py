@@ -160,12 +160,12 @@ def train(
     depth: int = 4,
     l2_leaf_reg: float = 3.0,
     keep_identifiers: bool = False,
+    fit_dir: str | None = None,
 ) -> DataFrame:
     """Train and test tables -> saved model, metrics as JSON; returns the metrics.
 
-    `l2_leaf_reg` keeps the argument list whole: Spark's trees have no such term.
+    A run that names a `fit_dir` goes on from the rounds that an earlier one staged there.
     """
-    log.info("l2_leaf_reg=%s is not used by Spark's boosted trees", l2_leaf_reg)
     model, scored = training.fit_and_predict(
         read_table(spark, train_data, schemas.FUSED),
         read_table(spark, test_data, schemas.FUSED),
@@ -173,8 +173,11 @@ def train(
         iterations=iterations,
         learning_rate=learning_rate,
         depth=depth,
+        l2_leaf_reg=l2_leaf_reg,
+        folder=fit_dir,
     )
-    model.write().overwrite().save(_inside(model_output_dir, "model"))
+    log.info("%d rounds kept", len(model.rounds))
+    model.save(spark, _inside(model_output_dir, "model"))
     metrics = classification_report(
         scored.where(F.col(schemas.TARGET).isNotNull()), schemas.TARGET, "prediction_label"
     )
@@ -222,6 +225,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     stage.add_argument("--depth", type=int, default=4)
     stage.add_argument("--l2-leaf-reg", type=float, default=3.0)
     stage.add_argument("--keep-identifiers", action="store_true")
+    stage.add_argument("--fit-dir", help="folder in which a lost run can be taken up")
     return parser.parse_args(argv)
 
 

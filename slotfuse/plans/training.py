@@ -4,30 +4,29 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import IndexToString, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slotfuse.operators.conform import clean_number, features_and_label
 from slotfuse.operators.prepare import hash_bucket
+from slotfuse.plans.boosting import BoostedTrees, Settings, fit_trees
 from slotfuse.schemas import TARGET
-from slotfuse.sources.staging import ensure_checkpoint_dir
 
 # Identifiers are numbers too, but say nothing about a new participant.
 IDENTIFIERS = ("class_id", "student_id")
 ROW_KEYS = ("class_id", "student_id", "timestamp")
 HELD_OUT = "_held_out"
-SEED = 42
 
 
-def scaling_step(train: DataFrame, features: Sequence[str]) -> SQLTransformer:
-    """Standardisation by population deviation as a stage that is saved with the model.
+def scaling_expressions(train: DataFrame, features: Sequence[str]) -> list[str]:
+    """SQL for each feature, standardised by population deviation.
 
     A constant column becomes 0. A missing value is put one deviation below the least
     one, so trees can tell it apart. Only one row of statistics reaches the driver.
     """
+    if not features:
+        return []
     fitted = train.agg(
         *[
             F.struct(
@@ -42,13 +41,18 @@ def scaling_step(train: DataFrame, features: Sequence[str]) -> SQLTransformer:
     def scaled(c: str) -> str:
         mean, deviation, least = fitted[c]["mean"], fitted[c]["deviation"], fitted[c]["least"]
         if mean is None:
-            return f"0D AS `{c}_scaled`"
+            return "0D"
         divisor = float(deviation) or 1.0
         missing = (float(least) - float(mean)) / divisor - 1.0
         number = f"nanvl(CAST(`{c}` AS DOUBLE), NULL)"
-        return f"coalesce(({number} - {float(mean)!r}D) / {divisor!r}D, {missing!r}D) AS `{c}_scaled`"
+        return f"coalesce(({number} - {float(mean)!r}D) / {divisor!r}D, {missing!r}D)"
+
+    return [scaled(c) for c in features]
+
 
-    columns = ", ".join(scaled(c) for c in features)
+def scaling_step(train: DataFrame, features: Sequence[str]) -> SQLTransformer:
+    """`scaling_expressions` as a stage for a pipeline of Spark's own learners."""
+    columns = ", ".join(f"{e} AS `{c}_scaled`" for c, e in zip(features, scaling_expressions(train, features)))
     return SQLTransformer(statement=f"SELECT *, {columns} FROM __THIS__")
 
 
@@ -59,58 +63,33 @@ def train_classifier(
     iterations: int = 300,
     learning_rate: float = 0.01,
     depth: int = 4,
+    l2_leaf_reg: float = 3.0,
     validation_share: int = 10,
     patience: int = 50,
-) -> PipelineModel:
+    folder: str | None = None,
+) -> BoostedTrees:
     """Boosted trees on scaled features, as many as the held-out part of `train` is best with.
 
-    All rounds are fitted without the held-out rows and their error is followed round by
-    round; the best round before `patience` rounds without gain is kept, by fitting up to
-    it again with the same seed. The held-out part is the rows whose `HELD_OUT` column is
-    true, or a part by hash of all columns; if it is empty, or nothing else is left, all rows
-    and all rounds count. Rows without a label are left out. The test table takes no part in
-    the fit. Label texts are indexed in alphabetical order and come back as text in
-    `prediction_label`.
+    The accuracy on the held-out rows is followed while the rest is fitted; the fit ends
+    after `patience` rounds without gain and the best round's trees are kept. The held-out
+    part is the rows whose `HELD_OUT` column is true, or a part by hash of all columns; if it is empty,
+    or nothing else is left, all rows and all rounds count. Rows without a label are left
+    out. The test table takes no part in the fit. There may be two labels or more; they come
+    back as text in `prediction_label`. A fit that names a `folder` can be taken up there.
     """
-    ensure_checkpoint_dir(train.sparkSession)
     train = train.where(F.col(label).isNotNull())
     if HELD_OUT not in train.columns:
         train = train.withColumn(HELD_OUT, hash_bucket(train.columns) < validation_share)
-    train = train.select(*features, label, HELD_OUT)
-    labels = StringIndexer(inputCol=label, outputCol="_label", stringOrderType="alphabetAsc")
-    labels = labels.setHandleInvalid("keep").fit(train)
-    scaled = [f"{c}_scaled" for c in features]
-    prepare = Pipeline(
-        stages=[scaling_step(train, features), VectorAssembler(inputCols=scaled, outputCol="_features"), labels]
-    ).fit(train)
-    ready = prepare.transform(train).select("_features", "_label", HELD_OUT)
-    watched, fitted = ready.where(HELD_OUT), ready.where(~F.col(HELD_OUT))
-    if watched.isEmpty() or fitted.isEmpty():
-        watched, fitted = None, ready
-    learner = GBTClassifier(
-        featuresCol="_features", labelCol="_label", maxIter=iterations, stepSize=learning_rate, maxDepth=depth, seed=SEED
-    )
-    trees = learner.fit(fitted)
-    if watched is not None:
-        best = best_round(trees.evaluateEachIteration(watched), patience)
-        if best < iterations:
-            trees = learner.setMaxIter(best).fit(fitted)
-    back = IndexToString(inputCol="prediction", outputCol="prediction_label", labels=labels.labels)
-    return PipelineModel(stages=[*prepare.stages, trees, back])
-
-
-def best_round(errors: Sequence[float], patience: int) -> int:
-    """The round, from 1, with the least error before `patience` rounds without gain."""
-    best = 0
-    for i, error in enumerate(errors):
-        if error < errors[best]:
-            best = i
-        elif i - best >= patience:
-            break
-    return best + 1
-
-
-def predict(model: PipelineModel, test: DataFrame) -> DataFrame:
+    train = train.select(*features, F.col(label).cast("string").alias(label), HELD_OUT)
+    parts = {r[0] for r in train.select(HELD_OUT).distinct().collect()}
+    if parts != {True, False}:
+        train = train.withColumn(HELD_OUT, F.lit(False))
+    settings = Settings(iterations, learning_rate, depth, l2_leaf_reg, patience)
+    scaled = list(zip(features, scaling_expressions(train, features)))
+    return fit_trees(train, scaled, label, HELD_OUT, settings, folder)
+
+
+def predict(model: BoostedTrees, test: DataFrame) -> DataFrame:
     return model.transform(test)
 
 
@@ -120,7 +99,7 @@ def fit_and_predict(
     label: str = TARGET,
     leave_out: Iterable[str] = IDENTIFIERS,
     **settings,
-) -> tuple[PipelineModel, DataFrame]:
+) -> tuple[BoostedTrees, DataFrame]:
     """Fit on the numeric columns of `train`, aligned with `test`; label and prediction.
 
     Rows are held out by their keys, if the table has them, so that equal features fall

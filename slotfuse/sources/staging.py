@@ -72,3 +72,8 @@ def staging(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFram
         for path in paths:
             system, target = _file_system(spark, path)
             system.delete(target, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    system, target = _file_system(spark, path)
+    return system.exists(target)

@@ -4,11 +4,11 @@ import random
 from datetime import datetime, timedelta
 
 import pytest
-from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from slotfuse import schemas
 from slotfuse.plans import fusion, jobs, survey, training
+from slotfuse.plans.boosting import BoostedTrees
 from slotfuse.schemas import FUSED, MEANS, PARTICIPANT_SURVEY
 from slotfuse.sources import staging
 from slotfuse.sources.tables import read_table
@@ -176,7 +176,7 @@ def test_prepare_and_train(spark, raw, fused):
     metrics = jobs.train(spark, train, test, f"{raw}/out", f"{raw}/out", iterations=3, learning_rate=0.1, depth=2)
     lines = {r["row"]: r for r in metrics.collect()}
     assert lines["accuracy"]["support"] == parts[1].count()
-    model = PipelineModel.load(f"{raw}/out/model")
+    model = BoostedTrees.load(spark, f"{raw}/out/model")
     scored = training.predict(model, parts[1])
     hits = scored.where(F.col("prediction_label") == F.col("engagement_level")).count()
     assert lines["accuracy"]["f1_score"] == pytest.approx(hits / parts[1].count())
@@ -216,15 +216,6 @@ def test_scaling_step_is_the_population_form(spark):
     assert [tuple(r) for r in scaled.collect()] == [(-1.0, 0.0, 0.0), (1.0, 0.0, 0.0), (-2.0, 0.0, 0.0)]
 
 
-def test_training_keeps_the_rounds_that_help():
-    from slotfuse.plans.training import best_round
-
-    falling = [1.0 - i / 400 for i in range(300)]
-    assert best_round(falling, 50) == 300
-    assert best_round([3, 2, 1, *[1.5] * 60, 0.5], 50) == 3
-    assert best_round([1.0], 50) == 1
-
-
 def test_training_takes_few_distinct_rows_and_missing_labels(spark):
     from pyspark.sql import functions as F
 
