@@ -4,14 +4,15 @@ A gear rolling hash over the text's bytes puts chunk ends where the last 16 byte
 hence an insertion moves only the chunks around it. Chunks are known by a 128-bit digest;
 of equal chunks the first, by doc_id, row and place, stays and the others are repeats.
 
-Neighbouring repeats are one span. A span counts from `least_span` bytes on, or if it is
-the whole text: a few words that two texts have in common by chance are no copy, and a
-passage of 300 bytes holds some five whole chunks, so it is seldom missed.
+Neighbouring repeats are one span, and every span is returned, however short. Among texts
+of one small vocabulary a few words stand twice by chance, so spans are counted twice over:
+`n_spans` counts all, `n_repeats` those of `passage` bytes or more and those that are a
+whole text. A passage of 300 bytes holds some five whole chunks, so it is seldom missed.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from slotfuse.llm.common import ship_package, staged
 
 WINDOW, LEAST, MOST, MASK = 16, 16, 512, 31  # bytes; chunks have 48 on average
-LEAST_SPAN = 96
+PASSAGE = 96  # bytes from which a span counts as a passage; shorter ones are returned too
 GEAR = np.random.default_rng(1).integers(0, 1 << 32, 256, dtype=np.uint32)
 
 
@@ -46,23 +47,25 @@ def chunk_ends(data: bytes) -> list[int]:
     return ends if last == len(data) else [*ends, len(data)]
 
 
-def spans(pieces: Column, whole: Column, least_span: int) -> Column:
-    """Sorted pieces (start, end) with neighbours joined, short spans left out unless whole."""
+def spans(pieces: Column) -> Column:
+    """Sorted pieces (start, end) with neighbours joined."""
     def edge(name: str, other: str, step: int) -> Column:
         inner = lambda p, i: F.coalesce(F.get(pieces, i + step)[other] == p[name], F.lit(False))
         return F.array_compact(F.transform(pieces, lambda p, i: F.when(~inner(p, i), p[name])))
 
-    joined = F.zip_with(
+    return F.zip_with(
         edge("start", "end", -1), edge("end", "start", 1), lambda a, b: F.struct(a.alias("start"), b.alias("end"))
     )
-    return F.filter(joined, lambda s: (s["end"] - s["start"] >= least_span) | (s["end"] - s["start"] == whole))
 
 
-def find_repeats(docs: DataFrame, least_span: int = LEAST_SPAN) -> DataFrame:
-    """doc_id, n_chunks, n_repeats, repeat_bytes, repeats (array of byte start, end), per row.
+def find_repeats(docs: DataFrame, passage: int = PASSAGE, keep: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """The columns `keep` of every row with n_chunks, n_spans, n_repeats, repeat_bytes, repeats.
 
-    NULL and empty texts have no chunks; repeated rows all stay, and the later one's whole
-    text is a repeat; NULL ids come last. An empty table gives an empty table.
+    `repeats` is an array of byte start and end of all spans, `repeat_bytes` their sum.
+    NULL and empty texts have no chunks; texts of any length are cut whole. Repeated rows
+    all stay, and the whole text of all but one is a repeat, so rows that agree in id and
+    text differ in that alone; NULL ids come last. Other columns are not read, and added
+    columns replace ones of the same name. An empty table gives an empty table.
     """
     ship_package(docs.sparkSession)
 
@@ -76,7 +79,10 @@ def find_repeats(docs: DataFrame, least_span: int = LEAST_SPAN) -> DataFrame:
                 out.append([{"start": a, "end": b, "digest": xxhash.xxh128_digest(data[a:b])} for a, b in zip([0, *ends], ends)])
             yield pd.Series(out, dtype=object)
 
-    rows = docs.select("doc_id", chunks(F.coalesce(F.col("text"), F.lit(""))).alias("chunks"))
+    added = ("n_chunks", "n_spans", "n_repeats", "repeat_bytes", "repeats")
+    inner = {c: f"kept_{i}" for i, c in enumerate(c for c in keep if c not in added)}
+    kept = [F.col(f"`{c}`").alias(n) for c, n in inner.items()]
+    rows = docs.select("doc_id", *kept, chunks(F.coalesce(F.col("text"), F.lit(""))).alias("chunks"))
     rows = staged(rows.withColumn("uid", F.monotonically_increasing_id()), "substring-chunks")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "uid", F.col("c.start").alias("start"))
     each = rows.select("doc_id", "uid", F.explode("chunks").alias("c"))
@@ -86,12 +92,53 @@ def find_repeats(docs: DataFrame, least_span: int = LEAST_SPAN) -> DataFrame:
     found = later.groupBy("uid").agg(F.sort_array(F.collect_list(F.struct(F.col("place.start").alias("start"), "end"))).alias("pieces"))
     none = F.array().cast("array<struct<start:int,end:int>>")
     sizes = rows.select(
-        "doc_id", "uid", F.size("chunks").cast("long").alias("n_chunks"), F.try_element_at("chunks", F.lit(-1))["end"].alias("n_bytes")
+        *inner.values(), "uid", F.size("chunks").cast("long").alias("n_chunks"), F.try_element_at("chunks", F.lit(-1))["end"].alias("n_bytes")
     )
-    joined = sizes.join(found, "uid", "left")
-    kept = joined.withColumn("repeats", F.coalesce(spans(F.col("pieces"), F.col("n_bytes"), least_span), none))
-    return kept.select(
-        "doc_id", "n_chunks", F.size("repeats").cast("long").alias("n_repeats"),
+    joined = sizes.join(found, "uid", "left").withColumn("repeats", F.coalesce(spans(F.col("pieces")), none))
+    long = F.filter("repeats", lambda s: (s["end"] - s["start"] >= passage) | (s["end"] - s["start"] == F.col("n_bytes")))
+    return joined.select(
+        *[F.col(n).alias(c) for c, n in inner.items()], "n_chunks", F.size("repeats").cast("long").alias("n_spans"),
+        F.size(long).cast("long").alias("n_repeats"),
         F.aggregate("repeats", F.lit(0), lambda acc, r: acc + r["end"] - r["start"]).cast("long").alias("repeat_bytes"),
         "repeats",
     )
+
+
+def without_repeats(docs: DataFrame, passage: int = PASSAGE) -> DataFrame:
+    """All rows and columns of `docs`, each text without its repeats of `passage` bytes or more.
+
+    A repeat's ends are moved to the nearest character boundaries inside it, so what is
+    left is whole characters. NULL stays NULL, a text that is one repeat becomes empty.
+    """
+    ship_package(docs.sparkSession)
+
+    @F.pandas_udf("string")
+    def cut(texts: pd.Series, repeats: pd.Series) -> pd.Series:
+        return pd.Series([
+            None if text is None else drop_spans(text, [(r["start"], r["end"]) for r in some], passage)
+            for text, some in zip(texts, repeats)
+        ], dtype=object)
+
+    inner = [c for c in docs.columns if c != "text"]
+    marked = docs.toDF(*[c if c in ("doc_id", "text") else f"own_{i}" for i, c in enumerate(docs.columns)])
+    found = find_repeats(marked, passage, marked.columns)
+    text = cut(F.col("text"), F.col("repeats")).alias("text")
+    back = {f"own_{i}": c for i, c in enumerate(docs.columns) if c in inner and c != "doc_id"}
+    return found.select(*[text if c == "text" else F.col(c).alias(back.get(c, c)) for c in marked.columns])
+
+
+def drop_spans(text: str, repeats: Sequence[tuple[int, int]], passage: int) -> str:
+    """The text without those bytes that lie in a repeat long enough, or in one that is all of it."""
+    data = text.encode("utf-8", "surrogatepass")
+    inside = lambda i: i < len(data) and data[i] & 0xC0 == 0x80
+    left, at = [], 0
+    for start, end in repeats:
+        if end - start >= passage or end - start == len(data):
+            while inside(start):
+                start += 1
+            while inside(end):
+                end -= 1
+            left.append(data[at:start])
+            at = max(start, end)
+    left.append(data[at:])
+    return b"".join(left).decode("utf-8", "surrogatepass")
