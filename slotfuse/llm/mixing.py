@@ -135,7 +135,8 @@ def mix_sources(
         ),
         "mix-limits",
     )
-    copies = F.col("whole") + F.when(F.col("h") <= F.col("up_to"), 1).otherwise(0)
+    # Words alone count towards the boundary, so a text without any may lie below it at the most.
+    copies = F.least(F.col("whole") + F.when(F.col("h") <= F.col("up_to"), 1).otherwise(0), F.lit(max_epochs).cast("long"))
     return sized.join(limits, "source_key").select(
         *[F.col(n).alias(c) for c, n in inner.items()], "size", "source_size", "target", copies.cast("long").alias("copies"),
         (copies * F.col("size")).cast("long").alias("taken"),
