@@ -10,6 +10,8 @@ from slotfuse.catalog.standins import SQL_CLOCK, with_views
 from slotfuse.functions.timeslots import with_clock_text
 from slotfuse.operators.sensors import sensor_slots
 from slotfuse.schemas import CHANNELS, MEANS
+from slotfuse.plans import upkeep
+from slotfuse.sources import inference
 from slotfuse.sources.sensor_files import read_readings, with_path_keys
 from slotfuse.sources.staging import fresh_path
 from slotfuse.sources.tables import CSV_OPTIONS, read_csv_as_written, write_table
@@ -25,11 +27,11 @@ def _with_tree(sql: str) -> str:
     return with_views("", "ev").rstrip() + ",\n" + _SQL_TREE + "\n" + sql
 
 
-def _sensor_tree(spark, sf_dir) -> str:
-    """All events as sensor files, class and participant being weekday and week."""
-    root = fresh_path(spark, "wearables")
+def _sensor_tree(spark, sf_dir, events="true", root=None) -> str:
+    """Events as sensor files, class and participant being weekday and week; joins a tree at `root`."""
+    root = root or fresh_path(spark, "wearables")
     code = F.element_at(F.create_map(*[F.lit(x) for pair in _CODES.items() for x in pair]), F.col("event_type"))
-    readings = standins.readings(spark, sf_dir).select(
+    readings = standins.readings(spark, sf_dir).where(events).select(
         "value",
         F.col("ts").alias("Time"),
         (F.col("wd") + 1).alias("class_id"),
@@ -41,7 +43,7 @@ def _sensor_tree(spark, sf_dir) -> str:
         "select /*+ rebalance(class_id, participant_id, channel) */ * from {readings}", readings=readings
     )
     options = {**CSV_OPTIONS, "header": "false"}
-    readings.write.options(**options).partitionBy("class_id", "participant_id", "channel").csv(root)
+    readings.write.mode("append").options(**options).partitionBy("class_id", "participant_id", "channel").csv(root)
     return root
 
 
@@ -109,3 +111,68 @@ def channel_or_empty(spark, sf_dir):
     channels = {**CHANNELS, "gsr": "gsr_mean"}
     readings = read_readings(spark, _sensor_tree(spark, sf_dir), channels, "timestamp_ntz")
     return rounded(with_clock_text(sensor_slots(readings, channels), "slot", "time_format"), MEANS)
+
+
+@query(_with_tree(f"{_SQL_SLOTS} from tree group by 1,2,3"))
+def slots_kept_up_to_date(spark, sf_dir):
+    """Slots from a store that two loads of a growing tree of files have filled."""
+    store = fresh_path(spark, "store")
+    root = _sensor_tree(spark, sf_dir, "value < 50")
+    upkeep.update_store(spark, root, store, time_type="timestamp_ntz")
+    _sensor_tree(spark, sf_dir, "value >= 50 or value is null", root)
+    upkeep.update_store(spark, root, store, time_type="timestamp_ntz")
+    return rounded(with_clock_text(upkeep.stored_slots(spark, store), "slot", "time_format"), MEANS)
+
+
+_UNTYPED = {
+    "whole": ("cast(o_orderkey as string)", "cast(o_orderkey as varchar)"),
+    "wide": ("cast(o_orderkey * 10000000000 as string)", "cast(cast(o_orderkey as bigint) * 10000000000 as varchar)"),
+    "number": ("cast(o_totalprice as string)", "cast(o_totalprice as varchar)"),
+    "day": ("cast(cast(o_orderdate as date) as string)", "cast(cast(o_orderdate as date) as varchar)"),
+    "moment": ("concat(cast(cast(o_orderdate as date) as string), ' 10:15:00')", "cast(cast(o_orderdate as date) as varchar) || ' 10:15:00'"),
+    "truth": ("if(o_orderkey % 2 = 0, 'true', 'False')", "if(o_orderkey % 2 = 0, 'true', 'False')"),
+    "text": ("o_orderpriority", "o_orderpriority"),
+    "nothing": ("cast(null as string)", "cast(null as varchar)"),
+    "gaps": ("if(o_orderkey % 3 = 0, null, cast(o_custkey as string))", "if(o_orderkey % 3 = 0, null, cast(o_custkey as varchar))"),
+    "mixed": ("if(o_orderkey % 97 = 0, 'n/a', cast(o_custkey as string))", "if(o_orderkey % 97 = 0, 'n/a', cast(o_custkey as varchar))"),
+    "widened": ("if(o_orderkey % 97 = 0, '1.5e3', cast(o_custkey as string))", "if(o_orderkey % 97 = 0, '1.5e3', cast(o_custkey as varchar))"),
+}
+_PATTERNS = {  # of the candidate types, narrowest first
+    "int": "'^[+-]?[0-9]+$') and try_cast({0} as int) is not null",
+    "bigint": "'^[+-]?[0-9]+$') and try_cast({0} as bigint) is not null",
+    "double": "'^[+-]?[0-9.]+([eE][+-]?[0-9]+)?$') and try_cast({0} as double) is not null",
+    "date": "'^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$') and try_cast({0} as date) is not null",
+    "timestamp_ntz": "'^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}( [0-9:]+)?$') and try_cast({0} as timestamp) is not null",
+    "boolean": "'^(?i:true|false)$')",
+}
+
+
+def _inferred_sql() -> str:
+    def one(name: str) -> str:
+        whens = " ".join(
+            f"when bool_and({name} is null or coalesce(regexp_matches({name}, {p.format(name)}, false)) then '{kind}'" for kind, p in _PATTERNS.items()
+        )
+        return f"select '{name}' as \"column\", case when count({name}) = 0 then 'string' {whens} else 'string' end as type, count({name}) as \"values\" from t"
+
+    columns = ", ".join(f"{sql} as {name}" for name, (_, sql) in _UNTYPED.items())
+    return f"with t as (select {columns} from orders) " + " union all ".join(map(one, _UNTYPED))
+
+
+@query(_inferred_sql())
+def infer_types(spark, sf_dir):
+    """The narrowest type of each column of a table of texts, in one pass."""
+    texts = table(spark, sf_dir, "orders").selectExpr(*[f"{expression} as `{name}`" for name, (expression, _) in _UNTYPED.items()])
+    return inference.infer_types(texts)
+
+
+@query("select o_orderkey, o_custkey, o_totalprice, cast(o_orderdate as date) as o_orderdate, o_orderpriority from orders")
+def csv_inferred_roundtrip(spark, sf_dir):
+    """A headed CSV of unknown types read back under those that its cells show."""
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_totalprice", F.col("o_orderdate").cast("date").alias("o_orderdate"), "o_orderpriority"
+    )
+    path = fresh_path(spark, "untyped") + ".csv"
+    write_table(orders, path)
+    back = inference.read_inferred(spark, path)
+    # Keys come back as the narrowest whole numbers.
+    return back.withColumns({c: F.col(c).cast(t) for c, t in orders.dtypes if t == "bigint"})

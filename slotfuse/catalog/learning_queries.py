@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from slotfuse.catalog import standins
 from slotfuse.catalog.registry import query, rounded, table
 from slotfuse.operators.conform import numeric_columns
-from slotfuse.operators.prepare import hash_split, split_part, standardise
+from slotfuse.operators.prepare import hash_split, split_part, standardise, stratified_parts
 from slotfuse.operators.report import classification_report as report
 from slotfuse.plans import fusion, jobs, survey, training
 from slotfuse.plans.boosting import BoostedTrees
@@ -48,6 +48,19 @@ def hash_split_parts(spark, sf_dir):
     return table(spark, sf_dir, "labels").select("doc_id", "quality", split_part(["doc_id"]).alias("part"))
 
 
+@query(
+    """with g as (select o_custkey as k, min(o_orderstatus) as c, count(*) as n,
+        cast('0x' || substr(md5(cast(o_custkey as varchar)), 1, 8) as bigint) as h from orders group by 1),
+    t as (select k, sum(n) over (partition by c order by h, cast(k as varchar) rows unbounded preceding) - n / 2.0 as taken,
+        sum(n) over (partition by c) * 80 / 100.0 as goal from g)
+    select o_orderkey, case when taken <= goal then 'train' else 'test' end as part from orders join t on o_custkey = k"""
+)
+def stratified_split(spark, sf_dir):
+    """M3: exact shares of every class, a customer's orders together."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    return stratified_parts(orders, ["o_custkey"], "o_orderstatus").select("o_orderkey", "part")
+
+
 def _labelled(spark, sf_dir):
     return table(spark, sf_dir, "labels").join(table(spark, sf_dir, "documents"), "doc_id")
 

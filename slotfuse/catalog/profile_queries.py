@@ -10,6 +10,7 @@ from slotfuse.functions.answers import list_items
 from slotfuse.functions.timeslots import minutes_between
 from slotfuse.operators import profile
 from slotfuse.operators.conform import conform, lower_names, parse_readings, rename
+from slotfuse.operators.curves import KEY_DIGITS, PRIME, bootstrap_band, density_curve, poisson_limits, replicate_constants
 
 # The codes that occur in `orders`.
 STATUSES = ["F", "O", "P"]
@@ -194,3 +195,39 @@ def explode_list_count(spark, sf_dir):
 def histogram12(spark, sf_dir):
     """Twelve bins of equal width."""
     return rounded(profile.histogram(table(spark, sf_dir, "events"), "value", 12), ["from", "to"])
+
+
+_REPLICATES = 100
+_SQL_REPLICATES = ", ".join(f"({r}, {a}, {b})" for r, (a, b) in enumerate(map(replicate_constants, range(_REPLICATES))))
+_SQL_WEIGHT = " + ".join(f"(u >= {limit})::int" for limit in poisson_limits())
+
+
+@query(
+    f"""with rows as (select hour(ts)::int as hour, value,
+        cast('0x' || substr(md5(cast(event_id as varchar)), 1, {KEY_DIGITS}) as bigint) as key from events where value is not null),
+    drawn as (select hour, value, r, (key * a + b) % {PRIME} as u
+        from rows, (values {_SQL_REPLICATES}) c(r, a, b)),
+    sums as (select hour, r, sum(({_SQL_WEIGHT}) * value) / nullif(sum({_SQL_WEIGHT}), 0) as m from drawn group by 1, 2)
+    select s.hour, round(any_value(p.mean), 6) as mean, round(quantile_cont(m, 0.025), 6) as lower, round(quantile_cont(m, 0.975), 6) as upper
+    from sums s join (select hour, avg(value) as mean from rows group by 1) p on s.hour = p.hour group by s.hour"""
+)
+def hourly_bootstrap_band(spark, sf_dir):
+    """The mean of each hour with the band that a plot bootstraps around it."""
+    events = table(spark, sf_dir, "events").select("event_id", F.hour("ts").alias("hour"), "value")
+    return rounded(bootstrap_band(events, "hour", "value", ["event_id"], _REPLICATES), ["mean", "lower", "upper"])
+
+
+@query(
+    """with f as (select min(value) as lo, max(value) as hi, count(value) as n, stddev_samp(value) as s,
+        (max(value) - min(value)) / 127 as step from events),
+    placed as (select (value - lo) / step as x, least(floor((value - lo) / step), 126) as low from events, f where value is not null),
+    halves as (select low as own, 1 - (x - low) as mass from placed union all select low + 1, x - low from placed),
+    grid as (select own, sum(mass) as mass from halves group by 1),
+    width as (select s * pow(n, -0.2) as h from f)
+    select cast(p.range as int) as point, round(lo + p.range * step, 6) as x,
+    round(sum(mass * exp(-0.5 * pow((p.range - own) * step / h, 2))) / (any_value(n) * any_value(h) * sqrt(2 * pi())), 6) as density
+    from range(128) p, grid, f, width group by p.range, lo, step"""
+)
+def density_of_values(spark, sf_dir):
+    """The density curve over the histogram."""
+    return rounded(density_curve(table(spark, sf_dir, "events"), "value"), ["x", "density"])

@@ -10,7 +10,7 @@ from slotfuse.catalog.standins import EVENT_CHANNELS, SQL_CHANNEL_MEANS, SQL_CLO
 from slotfuse.functions.timeslots import clock_text, floor_to_slot, time_of_day
 from slotfuse.operators import profile
 from slotfuse.operators.conform import with_constants
-from slotfuse.operators.sensors import dense_slots, merge_channels, slot_means, wide_slot_means
+from slotfuse.operators.sensors import dense_channels, dense_slots, merge_channels, slot_means, wide_slot_means
 
 _MEANS = list(EVENT_CHANNELS.values())
 _SQL_ROUNDED = ", ".join(f"round({m},6) as {m}" for m in _MEANS)
@@ -123,19 +123,15 @@ def session_concat(spark, sf_dir):
     """All channels resampled apart and laid side by side on time."""
     days = table(spark, sf_dir, "events").withColumn("day", F.to_date("ts"))
     keys = ["user_id", "day"]
-    channels = {
-        name: dense_slots(days.where(F.col("event_type") == code), keys, "ts", "value", name)
-        for code, name in EVENT_CHANNELS.items()
-    }
-    merged = merge_channels(channels, [*keys, "slot_start"])
+    merged = dense_channels(days, keys, "ts", EVENT_CHANNELS, "event_type")
     return rounded(
         merged.select(
             F.col("user_id").cast("int").alias("participant_id"),
             "day",
             time_of_day(F.col("slot_start")).alias("time_format"),
-            *channels,
+            *_MEANS,
         ),
-        list(channels),
+        _MEANS,
     )
 
 

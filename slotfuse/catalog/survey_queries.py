@@ -10,6 +10,7 @@ from slotfuse.catalog.standins import with_views
 from slotfuse.functions import answers
 from slotfuse.functions.timeslots import clock_text, with_clock_text
 from slotfuse.operators import profile
+from slotfuse.operators.joins import dyadic_interval_join
 from slotfuse.operators.conform import drop_incomplete
 from slotfuse.operators.prepare import impute_mean
 from slotfuse.plans import fusion, survey
@@ -234,6 +235,26 @@ def join_interval_right(spark, sf_dir):
     return rows.select("student_id", "week", "weekday", "time", "engagement_level", "room", "class_id")
 
 
+@query(
+    with_views(
+        """select v.Pid as student_id, v.Week as week, v.Weekday as weekday, slot as time,
+        engagement_level, Room as room, Class_id as class_id
+        from lk_scored v right join lk_class c
+        on v.Week=c.Week and v.Weekday=c.Weekday and slot between c.s and c.e""",
+        "lk_scored",
+        "lk_class",
+    )
+)
+def join_interval_dyadic(spark, sf_dir):
+    """The same rows by dyadic nodes, whose number does not grow with a class's length."""
+    rows = dyadic_interval_join(
+        survey.scored_answers(standins.surveys(spark, sf_dir)), standins.classes(spark, sf_dir),
+        [("week", "class_week"), ("weekday", "class_weekday")], "slot", "start_second", "finish_second", "right", finest=300,
+    )
+    rows = rows.withColumn("time", clock_text(F.col("slot")))
+    return rows.select("student_id", "week", "weekday", "time", "engagement_level", "room", "class_id")
+
+
 @query(with_views(f"select {', '.join(PARTICIPANT_SURVEY.names)} from lk_participants", "lk_participants"))
 def join_interval_inner(spark, sf_dir):
     """The participant survey, nothing missing."""

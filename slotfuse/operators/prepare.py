@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from slotfuse.operators.conform import clean_number
 
+HASH_BITS = 32
+
 
 def weighted_mean(value: Column, weight: Column) -> Column:
     """Mean of `value`, each counting `weight` times; NULL without values."""
@@ -70,11 +72,17 @@ def standardise(
 
 def hash_bucket(keys: Sequence[str | Column], buckets: int = 100) -> Column:
     """Bucket 0..buckets-1 from the md5 of the key text: same row, same bucket, any run."""
-    columns = [F.col(k) if isinstance(k, str) else k for k in keys]
+    return key_hash([F.col(k) if isinstance(k, str) else k for k in keys]) % buckets
+
+
+def key_text(columns: Sequence[Column]) -> Column:
     text = [F.coalesce(c.cast("string"), F.lit("")) for c in columns]
-    key = reduce(lambda a, b: F.concat(a, F.lit("|"), b), text)
-    head = F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("long")
-    return head % buckets
+    return reduce(lambda a, b: F.concat(a, F.lit("|"), b), text)
+
+
+def key_hash(columns: Sequence[Column]) -> Column:
+    """`HASH_BITS` bits of the md5 of the key text."""
+    return F.conv(F.substring(F.md5(key_text(columns)), 1, 8), 16, 10).cast("long")
 
 
 def hash_split(
@@ -88,3 +96,38 @@ def hash_split(
 def split_part(keys: Sequence[str | Column], train_share: int = 80) -> Column:
     """The part of `hash_split` a row falls in, `train` or `test`: one pass over its input."""
     return F.when(hash_bucket(keys) < train_share, "train").otherwise("test")
+
+
+def stratified_parts(
+    df: DataFrame, keys: Sequence[str], label: str, train_share: int = 80, coarse: int = 4096
+) -> DataFrame:
+    """`df` with `part`, `train` or `test`: of each class of `label` the share in train is exact.
+
+    Rows with equal keys are one group and stay together; a group's class is its least
+    label. Groups of a class are taken in the order of their hash until train has its share of
+    the class's rows; it differs from that by half a group at most. The groups' order is
+    found in two steps, a histogram of `coarse` bins of the hash per class and then the
+    groups of one bin, so no task sees a whole class. The same rows give the same parts.
+    NULL is a class of its own.
+    """
+    hashed = key_hash([F.col(k) for k in keys])
+    rows = df.withColumns({"_hash": hashed, "_key": key_text([F.col(k) for k in keys])})
+    width = (1 << HASH_BITS) // coarse
+    groups = rows.groupBy("_key").agg(F.first("_hash").alias("_hash"), F.min(label).alias("_class"), F.count(F.lit(1)).alias("_n"))
+    groups = groups.withColumns({"_bin": F.floor(F.col("_hash") / width), "_class": F.to_json(F.struct(F.col("_class").alias("c")))})
+    bins = groups.groupBy("_class", "_bin").agg(F.sum("_n").alias("_n"))
+    before = Window.partitionBy("_class").orderBy("_bin")
+    whole = Window.partitionBy("_class")
+    placed = bins.select(
+        "_class", "_bin", (F.sum("_n").over(before) - F.col("_n")).alias("_before"), F.sum("_n").over(before).alias("_after"),
+        (F.sum("_n").over(whole) * train_share / 100).alias("_goal"),
+    )
+    # The bin in which the share is reached is looked at group by group; whole bins lie on either side.
+    split = F.when(F.col("_after") <= F.col("_goal"), "train").when(F.col("_before") >= F.col("_goal"), "test")
+    placed = placed.withColumn("_side", split)
+    inside = groups.join(placed.where("_side is null"), ["_class", "_bin"])
+    order = Window.partitionBy("_class").orderBy("_hash", "_key")
+    taken = F.col("_before") + F.sum("_n").over(order) - F.col("_n") / 2
+    inside = inside.select("_key", F.when(taken <= F.col("_goal"), "train").otherwise("test").alias("part"))
+    outside = groups.join(placed.where("_side is not null"), ["_class", "_bin"]).select("_key", F.col("_side").alias("part"))
+    return rows.join(outside.unionByName(inside), "_key").drop("_key", "_hash")

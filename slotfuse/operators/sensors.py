@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from slotfuse.functions.timeslots import SLOT_SECONDS, floor_to_slot, slot_of_day
 from slotfuse.sources.sensor_files import path_keys
 
+GAP_STRETCH = 4096  # slots of a gap that are unfolded in one piece
+
 
 def slot_means(df: DataFrame, keys: Sequence[str], slot: Column, value: str, name: str) -> DataFrame:
     """Mean of one channel per key and slot; `slot` names the slot column."""
@@ -88,14 +90,26 @@ def sensor_slots(
     Sums are first taken per file and slot, so the path is taken apart once per slot
     and not once per reading.
     """
+    return slots_of_sums(file_slot_sums(readings, absolute), channels, keep_stray)
+
+
+def file_slot_sums(readings: DataFrame, absolute: bool = False, *versions: str) -> DataFrame:
+    """Readings -> sums per file and slot: class_id, participant_id, channel, slot, total, n, source.
+
+    `versions` names columns that a file has one value of; they stay beside its sums.
+    """
     timed = readings.where(F.col("Time").isNotNull())
     slot = floor_to_slot(F.col("Time")) if absolute else slot_of_day(F.col("Time"))
-    per_file = timed.groupBy("source", slot.alias("slot")).agg(
+    per_file = timed.groupBy("source", *versions, slot.alias("slot")).agg(
         F.sum(F.col("value").cast("double")).alias("total"), F.count("value").alias("n")
     )
     # Generated columns: a filter on plain ones would be moved below the aggregation,
-    # by this function's own filters or a later join, and match paths per reading again.
-    keyed = per_file.select("slot", "total", "n", F.inline(F.array(F.struct(*path_keys()))))
+    # by a later filter or join, and match paths per reading again.
+    return per_file.select("slot", "total", "n", "source", *versions, F.inline(F.array(F.struct(*path_keys()))))
+
+
+def slots_of_sums(sums: DataFrame, channels: Mapping[str, str], keep_stray: bool = True) -> DataFrame:
+    """Sums per file and slot -> one row per class, participant and slot with the means."""
     keys = ["class_id", "participant_id", "slot"]
 
     def mean(code: str) -> Column:
@@ -103,7 +117,7 @@ def sensor_slots(
         total = F.sum(F.when(here, F.col("total")))
         return F.try_divide(total, F.sum(F.when(here, F.col("n"))))
 
-    keyed = keyed.where(F.col("channel").isin(*channels))
+    keyed = sums.where(F.col("channel").isin(*channels))
     means = [mean(code).alias(name) for code, name in channels.items()]
     return _by_keys(keyed, keys, "channel", keep_stray, means)
 
@@ -123,16 +137,54 @@ def dense_slots(
     """
     start = F.window(F.col(time), f"{width} seconds")["start"].alias("slot_start")
     means = df.groupBy(*keys, start).agg(F.avg(value).alias(name))
+    filled = fill_gaps(means, keys, width)
+    return filled.select(*keys, "slot_start", F.when(~F.col("filled"), F.col(name)).alias(name))
+
+
+def dense_channels(
+    df: DataFrame,
+    keys: Sequence[str],
+    time: str,
+    channels: Mapping[str, str],
+    channel: str = "channel",
+    value: str = "value",
+    width: int = SLOT_SECONDS,
+) -> DataFrame:
+    """All channels resampled densely, each from its own first to last slot, side by side on time.
+
+    The rows of `merge_channels` over one `dense_slots` a channel, from one scan, one
+    window and one conditional aggregate.
+    """
+    start = F.window(F.col(time), f"{width} seconds")["start"].alias("slot_start")
+    read = df.where(F.col(channel).isin(*channels))
+    means = read.groupBy(*keys, channel, start).agg(F.avg(value).alias("_mean"))
+    filled = fill_gaps(means, [*keys, channel], width)
+    own = [F.max(F.when((F.col(channel) == code) & ~F.col("filled"), F.col("_mean"))).alias(name) for code, name in channels.items()]
+    return _by_keys(filled, [*keys, "slot_start"], channel, True, own)
+
+
+def fill_gaps(means: DataFrame, keys: Sequence[str], width: int = SLOT_SECONDS, stretch: int = GAP_STRETCH) -> DataFrame:
+    """Rows of (keys, slot_start, more) with the slots up to each key's next row added, `filled`.
+
+    A gap is cut into stretches of at most `stretch` slots. Stretches are dealt over all
+    tasks before they are unfolded into slots, so neither one row nor one key with a gap of
+    years is more than its share of a task. Added rows repeat the other columns.
+    """
     by_key = Window.partitionBy(*keys).orderBy("slot_start")
-    step = F.make_dt_interval(secs=F.lit(width))
-    following = F.lead("slot_start").over(by_key)
-    means = means.withColumn("_last", F.coalesce(following - step, F.col("slot_start")))
-    filled = means.select(
-        *keys,
-        F.col("slot_start").alias("_own"),
-        F.explode(F.sequence("slot_start", "_last", step)).alias("slot_start"),
-        name,
-    )
-    return filled.select(
-        *keys, "slot_start", F.when(F.col("slot_start") == F.col("_own"), F.col(name)).alias(name)
-    )
+    later = means.withColumn("_next", F.lead("slot_start").over(by_key))
+    if dict(means.dtypes)["slot_start"] == "timestamp_ntz":  # clock time: no session zone may come in
+        seconds = F.expr("cast(cast(_next - slot_start as interval second) as decimal(18, 0))")
+    else:
+        seconds = F.unix_seconds("_next") - F.unix_seconds("slot_start")
+    slots = F.coalesce((seconds / width).cast("long"), F.lit(1).cast("long"))
+    cut = later.withColumn("_slots", slots).withColumn("_stretch", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("_slots") - 1) / stretch))))
+    # A stated number: by size, a few stretches would be merged into one task and unfolded there.
+    tasks = int(means.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = cut.repartition(tasks, *[F.col(k) for k in keys], "slot_start", "_stretch")
+    first = F.col("_stretch") * stretch
+    last = F.least(first + stretch, F.col("_slots")) - 1
+    each = cut.withColumn("_slot", F.explode(F.sequence(first, last)))
+    return each.withColumns({
+        "filled": F.col("_slot") > 0,
+        "slot_start": F.col("slot_start") + F.make_dt_interval(secs=F.col("_slot") * width),
+    }).drop("_next", "_slots", "_stretch", "_slot")

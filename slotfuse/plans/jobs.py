@@ -8,6 +8,7 @@
 `fuse` is `sensors` and `participants` followed by `combine`, which can be run alone:
 
     python -m slotfuse.plans.jobs sensors WEARABLES OUT
+    python -m slotfuse.plans.jobs upkeep WEARABLES STORE OUT
     python -m slotfuse.plans.jobs participants PARTICIPANTS SURVEY CLASSES OUT
     python -m slotfuse.plans.jobs combine SLOTS PARTICIPANTS OUT
 
@@ -35,6 +36,7 @@ from slotfuse.operators.report import classification_report
 from slotfuse.operators.sensors import sensor_slots
 from slotfuse.plans import explore as exploration
 from slotfuse.plans import fusion, survey, training
+from slotfuse.plans import upkeep as stored
 from slotfuse.session import build_session
 from slotfuse.sources.sensor_files import read_readings
 from slotfuse.sources.staging import staging
@@ -70,6 +72,14 @@ def sensors(spark: SparkSession, wearable_dir: str, out: str) -> None:
     write_table(with_clock_text(ordered, "slot", "time_format"), out)
 
 
+def upkeep(spark: SparkSession, wearable_dir: str, store: str, out: str) -> None:
+    """Sensor files that are new since the last run join the store; all its slots, in order."""
+    count = stored.update_store(spark, wearable_dir, store)
+    log.info("%d files read", count)
+    ordered = stored.stored_slots(spark, store).orderBy("class_id", "participant_id", "slot")
+    write_table(with_clock_text(ordered, "slot", "time_format"), out)
+
+
 def participants(
     spark: SparkSession, participant_dir: str, survey_dir: str, class_dir: str, out: str
 ) -> None:
@@ -187,6 +197,7 @@ def train(
 
 STAGES = {
     "sensors": sensors,
+    "upkeep": upkeep,
     "participants": participants,
     "combine": combine,
     "explore": explore,
@@ -203,6 +214,7 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
     positional = {
         "fuse": ("participant_dir", "survey_dir", "class_dir", "wearable_dir", "out"),
         "sensors": ("wearable_dir", "out"),
+        "upkeep": ("wearable_dir", "store", "out"),
         "participants": ("participant_dir", "survey_dir", "class_dir", "out"),
         "combine": ("slots", "participants", "out"),
         "explore": ("participant_dir", "survey_dir", "class_dir", "out"),
