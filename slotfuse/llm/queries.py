@@ -100,10 +100,7 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    leaks = decontaminate.find_leaks(docs, read_table(spark, sf_dir, "benchmark"))
-    found = docs.select("doc_id", F.explode(leaks).alias("leak"))
-    return found.select("doc_id", "leak.*")
+    return decontaminate.leaks_of_rows(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
 @query(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from check import connect, differences
 from slotfuse.llm import (
-    blocks, chat, components, decontaminate, extract, labeller, licenses, mixing, quality, secrets, simhash, tokens,
+    blocks, chat, components, extract, labeller, licenses, mixing, quality, secrets, simhash, tokens,
     trigrams,
 )
 from slotfuse.llm.bktree import shard_links
@@ -157,34 +157,6 @@ def test_license_scan(docs, empty):
     assert licenses.scan_licenses(empty).count() == 0
 
 
-def test_leaks(spark, empty):
-    rng = random.Random(7)
-    words = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 8))) for _ in range(3000)]
-    prose = lambda n: " ".join(rng.choices(words, k=n))
-    items = [(i, prose(rng.randint(15, 50))) for i in range(30)] + [(98, None), (99, "")]
-    paraphrase = items[2][1].split()
-    for i in range(0, len(paraphrase) - 5, 5):
-        paraphrase[i] = "other"
-    texts = [prose(300), prose(200) + " " + items[0][1] + " " + prose(100), items[1][1].upper() + "!", prose(90) + " " + " ".join(paraphrase), None, ""]
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
-    bench = spark.createDataFrame(items, "item_id bigint, text string")
-    for size in (2048, 7):
-        search = decontaminate.Search(block_items=size, sample_parts=2)
-        found = docs.select("doc_id", F.explode(decontaminate.find_leaks(docs, bench, search)).alias("x"))
-        assert {(r["doc_id"], r["x"]["item_id"]) for r in found.collect()} == {(1, 0), (2, 1), (3, 2)}
-    assert sorted(r["doc_id"] for r in decontaminate.decontaminate(docs, bench).collect()) == [0, 4, 5]
-    assert decontaminate.decontaminate(docs, bench.limit(0)).count() == len(texts)
-    assert decontaminate.decontaminate(empty, bench).count() == 0
-
-
-def test_common_subsequence():
-    a, b = [b"a", b"b", b"a", b"c"], [b"b", b"x", b"a", b"a", b"c"]
-    masks = {}
-    for i, w in enumerate(a):
-        masks[w] = masks.get(w, 0) | 1 << i
-    assert decontaminate.common_subsequence(masks, len(a), b) == 3
-
-
 def test_mixing_reaches_targets(docs, empty):
     got = mixing.mix_sources(docs, keep=("doc_id", "source")).collect()
     assert len(got) == docs.count()
