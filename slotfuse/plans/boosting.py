@@ -58,22 +58,25 @@ class Tree:
     splits: tuple[tuple[int, int], ...]
     values: tuple[float, ...]
 
-    def value(self, above: dict[tuple[int, int], Column]) -> Column:
-        leaf = _leaf(self.splits, above)
-        return F.get(F.array(*[F.lit(v) for v in self.values]), leaf) if self.splits else F.lit(self.values[0])
+    def sql(self, above: Above) -> str:
+        values = ", ".join(f"{v!r}D" for v in self.values)
+        return f"get(array({values}), {_leaf(self.splits, above)})" if self.splits else values
 
 
-def _leaf(splits: Sequence[tuple[int, int]], above: dict[tuple[int, int], Column]) -> Column:
-    bits = [F.when(above[s], F.lit(1 << i)).otherwise(F.lit(0)) for i, s in enumerate(splits)]
-    return reduce(lambda a, b: a + b, bits, F.lit(0))
+# A level's condition as SQL, from a feature and the place of its border.
+Above = Callable[[int, int], str]
 
 
-def _sum(parts: Sequence[Column]) -> Column:
+def _leaf(splits: Sequence[tuple[int, int]], above: Above) -> str:
+    return " + ".join(f"if({above(*s)}, {1 << i}, 0)" for i, s in enumerate(splits)) or "0"
+
+
+def _sum(parts: Sequence[str]) -> str:
     """A balanced sum: hundreds of trees would nest too deep from left to right."""
-    if len(parts) <= 2:
-        return reduce(lambda a, b: a + b, parts)
+    if len(parts) == 1:
+        return parts[0]
     half = len(parts) // 2
-    return _sum(parts[:half]) + _sum(parts[half:])
+    return f"({_sum(parts[:half])} + {_sum(parts[half:])})"
 
 
 @dataclass(frozen=True)
@@ -140,22 +143,21 @@ class BoostedTrees:
         scaled = df.withColumns({n: F.expr(e) for n, (_, e) in zip(names, self.features)})
         if not self.rounds:
             return scaled.withColumn("prediction_label", F.lit(self.labels[0] if self.labels else None).cast("string")).drop(*names)
-        above = {
-            (i, j): F.coalesce(F.col(names[i]) > F.lit(b), F.lit(False)) for i, some in enumerate(self.borders) for j, b in enumerate(some)
-        }
-        margins = [_sum([trees[k].value(above) for trees in self.rounds]) for k in range(len(self.rounds[0]))]
-        marks = [f"_margin_{k}" for k in range(len(margins))]
-        scored = scaled.withColumns(dict(zip(marks, margins)))
-        place = _best_class(marks)
-        label = F.get(F.array(*[F.lit(x) for x in self.labels]), place)
-        return scored.withColumn("prediction_label", label).drop(*names, *marks)
+        def above(feature: int, place: int) -> str:
+            return f"coalesce({names[feature]} > {self.borders[feature][place]!r}D, false)"
+
+        marks = [f"_margin_{k}" for k in range(len(self.rounds[0]))]
+        margins = {m: F.expr(_sum([trees[k].sql(above) for trees in self.rounds])) for k, m in enumerate(marks)}
+        label = F.get(F.array(*[F.lit(x) for x in self.labels]), F.expr(_best_class(marks)))
+        return scaled.withColumns(margins).withColumn("prediction_label", label).drop(*names, *marks)
 
 
-def _best_class(marks: Sequence[str]) -> Column:
+def _best_class(marks: Sequence[str]) -> str:
     """The class with the greatest margin, the first of equal ones; above 0 for one margin."""
     if len(marks) == 1:
-        return F.when(F.col(marks[0]) > 0, 1).otherwise(0)
-    return F.array_position(F.array(*marks), F.greatest(*marks)).cast("int") - 1
+        return f"if({marks[0]} > 0, 1, 0)"
+    every = ", ".join(marks)
+    return f"cast(array_position(array({every}), greatest({every})) as int) - 1"
 
 
 @dataclass
@@ -174,17 +176,19 @@ class _Fit:
         """Margins, and so trees, in a round."""
         return 1 if len(self.labels) == 2 else len(self.labels)
 
-    def above(self) -> dict[tuple[int, int], Column]:
-        return {(i, j): F.col(f"bin_{i}") > j for i, some in enumerate(self.borders) for j in range(len(some))}
+    @property
+    def marks(self) -> list[str]:
+        return [f"margin_{k}" for k in range(self.trees)]
 
     def now(self) -> DataFrame:
         """The cells with margins after all rounds so far."""
-        above, since = self.above(), self.rounds[self.saved:]
-        if not since:
-            return self.state
-        return self.state.withColumns(
-            {f"margin_{k}": _sum([F.col(f"margin_{k}"), *[trees[k].value(above) for trees in since]]) for k in range(self.trees)}
-        )
+        since = self.rounds[self.saved:]
+        margins = [f"{_sum([m, *[trees[k].sql(_above_bin) for trees in since]])} as {m}" for k, m in enumerate(self.marks)]
+        return self.state.selectExpr(*[c for c in self.state.columns if c not in self.marks], *margins)
+
+
+def _above_bin(feature: int, place: int) -> str:
+    return f"bin_{feature} > {place}"
 
 
 def borders_of(train: DataFrame, features: Sequence[str], bins: int) -> list[list[float]]:
@@ -217,47 +221,44 @@ def _cells(train: DataFrame, features: Sequence[str], label: str, held: str, lab
     return counted.withColumns({f"margin_{k}": F.lit(0.0) for k in range(1 if len(labels) == 2 else len(labels))})
 
 
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """`use(value)` with `value` computed once: margins grow with the trees they are made of."""
-    return F.get(F.transform(F.array(value), lambda v: use(v)), F.lit(0))
-
+def _let(name: str, value: str, body: str) -> str:
+    """`body` with `name` for `value`, computed once: margins grow with the trees they are made of."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
 
-def _slopes(fit: _Fit, leaves: Sequence[Column]) -> Column:
-    """Array of tree, leaf, g, h: gradient and Hessian of each margin times the cell's number."""
-    def slopes(chances: Sequence[Column]) -> Column:
-        hits = [(F.col("y") == (1 if fit.trees == 1 else k)).cast("double") for k in range(fit.trees)]
-        return F.array(*[
-            F.struct(
-                F.lit(k).alias("tree"), leaf.alias("leaf"), ((hit - p) * F.col("n")).alias("g"), (p * (1 - p) * F.col("n")).alias("h")
-            )
-            for k, (leaf, hit, p) in enumerate(zip(leaves, hits, chances))
-        ])
 
-    marks = [F.col(f"margin_{k}") for k in range(fit.trees)]
-    if fit.trees == 1:
-        return _let(1 / (1 + F.exp(-marks[0])), lambda p: slopes([p]))
-    each = lambda of: [F.get(of, F.lit(k)) for k in range(fit.trees)]
+def _slopes(fit: _Fit, leaves: Sequence[str]) -> str:
+    """Array of tree, leaf, g, h: gradient and Hessian of each margin times the cell's number.
 
-    def shares(m: Column) -> Column:
-        powers = F.transform(m, lambda v: F.exp(v - F.array_max(m)))
-        return _let(powers, lambda e: F.transform(e, lambda v: v / F.aggregate(e, F.lit(0.0), lambda acc, x: acc + x)))
+    SQL text, as a job's plan is built for every level and round.
+    """
+    def slopes(chances: Sequence[str]) -> str:
+        rows = [
+            f"named_struct('tree', {k}, 'leaf', {leaf}, 'g', (if(y = {1 if fit.trees == 1 else k}, 1D, 0D) - {p}) * n, 'h', {p} * (1 - {p}) * n)"
+            for k, (leaf, p) in enumerate(zip(leaves, chances))
+        ]
+        return f"array({', '.join(rows)})"
 
-    return _let(F.array(*marks), lambda m: _let(shares(m), lambda p: slopes(each(p))))
+    if fit.trees == 1:
+        return _let("p", f"1 / (1 + exp(-{fit.marks[0]}))", slopes(["p"]))
+    total = "aggregate(e, 0D, (sum, x) -> sum + x)"
+    powers = "transform(m, v -> exp(v - array_max(m)))"
+    shares = _let("e", powers, f"transform(e, v -> v / {total})")
+    return _let("m", f"array({', '.join(fit.marks)})", _let("p", shares, slopes([f"get(p, {k})" for k in range(fit.trees)])))
 
 
 def _histograms(fit: _Fit, chosen: list[list[tuple[int, int]]], watch: bool) -> tuple[np.ndarray, float | None]:
     """Sums by (tree, node, feature, bin, g or h), and the held-out share of hits if `watch`."""
-    above, level = fit.above(), max(map(len, chosen))
-    cells, n_features = fit.now(), len(fit.borders)
-    each = _slopes(fit, [_leaf(splits, above) for splits in chosen])
-    bins = F.explode(F.array(*[F.struct(F.lit(i).alias("feature"), F.col(f"bin_{i}").alias("bin")) for i in range(n_features)]))
-    rows = cells.where("not held").select("*", F.explode(each).alias("t")).select("t", bins.alias("b"))
+    level, cells, n_features = max(map(len, chosen)), fit.now(), len(fit.borders)
+    each = _slopes(fit, [_leaf(splits, _above_bin) for splits in chosen])
+    bins = ", ".join(f"named_struct('feature', {i}, 'bin', bin_{i})" for i in range(n_features))
+    rows = cells.where("not held").selectExpr("*", f"explode({each}) as t").selectExpr("t", f"explode(array({bins})) as b")
     sums = rows.groupBy("t.tree", "t.leaf", "b.feature", "b.bin").agg(F.sum("t.g").alias("g"), F.sum("t.h").alias("h"))
     if watch:
-        right = _best_class([f"margin_{k}" for k in range(fit.trees)]) == F.col("y")
-        hits = cells.where("held").agg(F.sum(F.when(right, F.col("n")).otherwise(0.0)).alias("g"), F.sum("n").alias("h"))
-        zero = F.lit(0)
-        sums = sums.unionByName(hits.select(F.lit(ACCURACY).alias("tree"), zero.alias("leaf"), zero.alias("feature"), zero.alias("bin"), "g", "h"))
+        right = f"{_best_class(fit.marks)} = y"
+        hits = cells.where("held").selectExpr(
+            f"{ACCURACY} as tree", "0 as leaf", "0 as feature", "0 as bin", f"sum(if({right}, n, 0D)) as g", "sum(n) as h"
+        )
+        sums = sums.unionByName(hits)
     found = sums.toArrow().to_pydict()  # trees x nodes x features x bins rows at most
     widest = max(len(b) for b in fit.borders) + 1
     out = np.zeros((fit.trees, 1 << level, n_features, widest, 2))

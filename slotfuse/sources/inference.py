@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from slotfuse.operators.conform import conform
-from slotfuse.sources.tables import CSV_OPTIONS
+from slotfuse.sources.tables import read_texts
 
 # Candidate types, from the narrowest; a text that fits one fits all wider numbers, and
 # everything is a string. Forms are told by pattern, ranges by cast.
@@ -51,6 +51,6 @@ def infer_types(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
 
 def read_inferred(spark: SparkSession, path: str) -> DataFrame:
     """A headed CSV of unknown types: read as text once to infer them, then under them."""
-    texts = spark.read.options(**CSV_OPTIONS).csv(path)
+    texts = read_texts(spark, path)
     found = {r["column"]: r["type"] for r in infer_types(texts).collect()}  # one row a column
     return conform(texts, T.StructType.fromDDL(", ".join(f"`{c}` {found[c]}" for c in texts.columns)))

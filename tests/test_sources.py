@@ -1,5 +1,6 @@
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from slotfuse import schemas
 from slotfuse.functions.timeslots import with_clock_text
@@ -140,7 +141,7 @@ def test_a_local_session_gets_a_folder_of_its_own(spark):
 def test_csv_gives_back_any_text(spark, tmp_path):
     from slotfuse.sources.tables import read_csv_as_written, read_table, write_table
 
-    texts = ["two\nlines", 'a "quote", a comma', "", None, " blanks ", "back\\slash", "r\r\nn"]
+    texts = ["two\nlines", 'a "quote", a comma', "", None, " blanks ", "back\\slash", "r\r\nn", "\u241b", "\u241bn \u241be\n\u241br", "\\N"[1:]]
     df = spark.createDataFrame(list(enumerate(texts)), "n int, t string")
     path = str(tmp_path / "t.csv")
     write_table(df, path)
@@ -156,3 +157,24 @@ def test_whole_numbers_with_a_point_stay_whole(spark):
     df = spark.createDataFrame([("13.0",), ("1e1",), ("7",), ("7.5",), ("",), ("x",), (None,)], "Age string")
     schema = T.StructType([T.StructField("Age", T.IntegerType())])
     assert [r["Age"] for r in conform(df, schema).collect()] == [13, 10, 7, None, None, None, None]
+
+
+def test_large_csv_is_read_by_several_tasks(spark, tmp_path):
+    path = str(tmp_path / "big.csv")
+    df = spark.range(20_000).selectExpr("id", "concat('line ', id, '\\n', repeat('x', 50)) as t")
+    tables.write_table(df.coalesce(1), path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    try:
+        back = tables.read_csv_as_written(spark, path, df.schema)
+        assert back.rdd.getNumPartitions() > 3
+        assert back.exceptAll(df).count() == 0 and back.count() == 20_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_foreign_csv_with_line_breaks(spark, tmp_path):
+    (tmp_path / "f.csv").write_text('id,t\n1,"two\nlines"\n2,one\n')
+    schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("t", T.StringType())])
+    rows = tables.read_table(spark, str(tmp_path / "f.csv"), schema, multiline=True).collect()
+    assert sorted(map(tuple, rows)) == [(1, "two\nlines"), (2, "one")]
