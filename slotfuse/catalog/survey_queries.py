@@ -10,12 +10,13 @@ from slotfuse.catalog.standins import with_views
 from slotfuse.functions import answers
 from slotfuse.functions.timeslots import clock_text, with_clock_text
 from slotfuse.operators import profile
-from slotfuse.operators.joins import dyadic_interval_join
 from slotfuse.operators.conform import drop_incomplete
+from slotfuse.operators.joins import dyadic_interval_join
 from slotfuse.operators.prepare import impute_mean
-from slotfuse.plans import fusion, survey
-from slotfuse.schemas import ENGAGE, MEANS, PARTICIPANT_SURVEY
-from slotfuse.sources.staging import stage_table
+from slotfuse.plans import fusion, jobs, survey
+from slotfuse.schemas import CLASS_TABLE, ENGAGE, FUSED, MEANS, PARTICIPANT_SURVEY, SENSOR_SLOTS, STUDENT, STUDENT_SURVEY
+from slotfuse.sources.staging import fresh_path, stage_table
+from slotfuse.sources.tables import read_table, write_table
 
 _SQL_MEANS = ", ".join(f"round({m},6) as {m}" for m in MEANS)
 
@@ -324,6 +325,40 @@ def flagship_fusion(spark, sf_dir):
     return rounded(fused, MEANS)
 
 
+_SQL_FUSED = f"""select distinct class_id, room, student_id, gender_code, age, time_format as timestamp,
+    hr_mean, temp_mean, coalesce(eda_mean, (select avg(eda_mean) from lk_joined)) as eda_mean,
+    coalesce(ibi_mean, (select avg(ibi_mean) from lk_joined)) as ibi_mean, bvp_mean, engagement_level from lk_joined"""
+
+
+@query(
+    with_views(
+        f"""select class_id, room, student_id, gender_code, age, timestamp, {_SQL_MEANS}, engagement_level,
+        case when cast('0x' || substr(md5(class_id || '|' || student_id || '|' || timestamp),1,8) as bigint) % 100 < 80
+            then 'train' else 'test' end as part from ({_SQL_FUSED})""",
+        "lk_joined",
+    )
+)
+def stages_on_paths(spark, sf_dir):
+    """Input files written, then the stages from path to path: participants, combine, prepare."""
+    folder = fresh_path(spark, "stages")
+    for name, rows, schema in (
+        ("student", standins.students(spark, sf_dir), STUDENT),
+        ("student_survey", standins.surveys(spark, sf_dir), STUDENT_SURVEY),
+        ("class_table", standins.timetable(spark, sf_dir), CLASS_TABLE),
+    ):
+        missing = {f.name: F.lit(None).cast(f.dataType) for f in schema.fields if f.name not in rows.columns}
+        write_table(rows.withColumns(missing), f"{folder}/in/{name}.csv")
+    slots = standins.device_slots(spark, sf_dir).withColumn("time_format", clock_text(F.col("slot")))
+    write_table(slots.select(*SENSOR_SLOTS.names), f"{folder}/slots.csv")
+    jobs.participants(spark, f"{folder}/in", f"{folder}/in", f"{folder}/in", f"{folder}/participants.csv")
+    jobs.combine(spark, f"{folder}/slots.csv", f"{folder}/participants.csv", f"{folder}/fused.csv")
+    jobs.prepare(spark, f"{folder}/fused.csv", f"{folder}/train.csv", f"{folder}/test")
+    train, test = (
+        read_table(spark, f"{folder}/{path}", FUSED).withColumn("part", F.lit(part)) for part, path in (("train", "train.csv"), ("test", "test"))
+    )
+    return rounded(train.unionByName(test), MEANS)
+
+
 @query(
     with_views(
         " union all ".join(
