@@ -12,10 +12,9 @@ TOKEN = re.compile(
     re.S,
 )
 NAMES = re.compile(r"""(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
-NAME_PART = re.compile(r"[a-z]+")
 
 # Elements by how they end a block or hide their content.
-HIDDEN = frozenset("script style noscript template iframe svg math object canvas head title select textarea".split())
+HIDDEN = frozenset("script style noscript template iframe svg head title select textarea".split())
 RAW = frozenset("script style textarea title noscript iframe template".split())
 BLOCK = frozenset(
     "address article aside blockquote body button caption center dd details dialog div dl dt fieldset figcaption "
@@ -29,7 +28,7 @@ CLOSED_BY_SAME = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": (
 
 class Block(NamedTuple):
     path: tuple[str, ...]  # open elements from the root
-    names: tuple[str, ...]  # words of their classes, ids and roles
+    names: tuple[str, ...]  # their classes, ids and roles, but for those of html and body
     text: str
     linked: int  # code points inside links
 
@@ -106,8 +105,9 @@ def leaf_blocks(page: str) -> list[Block]:
                 hidden = 0
             if tag != "hr" and not attributes.endswith("/"):
                 found = [a or b or c for a, b, c in NAMES.findall(attributes)] if attributes else []
-                names = tuple(n for value in found for n in NAME_PART.findall(html.unescape(value).lower()))
-                stack.append((tag, names))
+                names = tuple(n for value in found for n in html.unescape(value).lower().split())
+                # What html and body are called says something about the page and nothing about a block.
+                stack.append((tag, () if tag in ("html", "body") else names))
                 hidden += tag in HIDDEN
     if not hidden:
         flush()

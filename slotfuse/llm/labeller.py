@@ -10,6 +10,7 @@ fixed seed, so every run gives the same weights.
 from __future__ import annotations
 
 import math
+import re
 import zlib
 from collections.abc import Sequence
 from functools import lru_cache
@@ -19,10 +20,11 @@ import numpy as np
 from slotfuse.llm.blocks import Block, leaf_blocks
 from slotfuse.llm.training_pages import training_pages
 
-PATH, WORDS, SHAPE = 192, 32, 12
+PATH, WORDS, SHAPE = 256, 32, 14
 INPUT = PATH + WORDS + SHAPE
-HIDDEN = 20
-PAGES, EPOCHS, BATCH = 800, 8, 25
+HIDDEN = 24
+PAGES, EPOCHS, BATCH = 1500, 9, 25
+NAME_PART = re.compile(r"[a-z]+")
 HASHED = 1 << 17  # entries of the word cache, emptied when it is full
 CELLS = 60_000  # padded blocks labelled at a time, at most
 
@@ -41,8 +43,11 @@ def _word(word: str) -> tuple[int, float]:
 
 @lru_cache(maxsize=1 << 14)
 def _path(path: tuple[str, ...], names: tuple[str, ...]) -> np.ndarray:
+    """Elements, whole names, and the words in them, each hashed apart: `sidebar-layout`
+    is not `sidebar`, though both have the word. The last name and element stand out."""
     out = np.zeros(PATH)
     keys = [f"<{t}" for t in path] + [f".{n}" for n in names] + [f"leaf {path[-1] if path else ''}"]
+    keys += [f"~{part}" for n in names for part in NAME_PART.findall(n) if part != n]
     if names:
         keys.append(f"last {names[-1]}")
     for key in set(keys):
@@ -66,6 +71,7 @@ def features(blocks: Sequence[Block]) -> np.ndarray:
             min(2.0, math.log1p(n) / 4), min(2.0, math.log1p(len(tokens)) / 3), min(1.0, b.linked / n), b.text.count(".") * 10 / (n + 20),
             b.text.count(",") * 10 / (n + 20), b.text[-1] in ".!?:", b.text[0].isupper(), leaf in ("h1", "h2", "h3"),
             len(b.path) / 8, (i + 1) / len(blocks), "©" in b.text, 1.0,
+            1.0 if i and blocks[i - 1].path == b.path else 0.0, min(1.0, sum(map(str.isdigit, b.text)) * 4 / n),
         )
     return out
 

@@ -226,3 +226,31 @@ def test_pipeline_stages(spark):
     empty = docs.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SF_DIR).count() == 0
+
+
+def test_pages_written_by_hand(spark):
+    """Layouts that the labeller's own generator does not make; by blocks, and page by page."""
+    from hand_written import PAGES
+
+    weights = labeller.train()
+    right = total = whole = 0
+    for page, wanted in PAGES:
+        every = [b.text for b in blocks.leaf_blocks(page)]
+        assert set(wanted) <= set(every)
+        got = extract.main_texts([page], weights)[0]
+        kept = set(got.split("\n")) if got else set()
+        total += len(every)
+        right += sum((b in kept) == (b in wanted) for b in every)
+        whole += got == "\n".join(wanted)
+    assert right / total >= 0.95 and whole >= 0.75 * len(PAGES)
+    assert extract.main_texts([p for p, _ in PAGES] * 2, weights)[:len(PAGES)] == [extract.main_texts([p], weights)[0] for p, _ in PAGES]
+
+
+def test_extraction_of_odd_tables(spark):
+    schema = "page_id bigint, html string, n_chars string"
+    long = "<article><p>" + "word " * 200_000 + "</p></article>"
+    rows = [(1, long, "x"), (2, "<p>one", "y"), (2, "<p>one", "y"), (None, "<article><p>Some text of a page.</p></article>", None)]
+    got = extract.extract_text(spark.createDataFrame(rows, schema)).collect()
+    assert len(got) == 4 and max(r["n_chars"] for r in got) == 200_000 * 5 - 1
+    assert len({r["text"] for r in got if r["page_id"] == 2}) == 1
+    assert extract.extract_text(spark.createDataFrame([], schema)).count() == 0
