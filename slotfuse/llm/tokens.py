@@ -5,7 +5,7 @@ them. The first tier is a table of the lengths of frequent pre-tokens, broadcast
 task; the second is a cache in each Python worker, filled by encoding what the table
 misses. No pre-token is ever shuffled.
 
-The table is a cache and no statistic: it is counted on a bounded sample of
+The table is a cache and no statistic: it is counted on a bounded sample of about
 `sample_rows` rows and holds `table_size` entries at most, and a pre-token that is not in
 it is encoded and counted all the same. Pre-tokens are cut by the library's own
 pre-tokenizer and encoded by its own model, so counts are the library's.
@@ -87,7 +87,7 @@ def _count(texts: pd.Series, path: str, table: dict[str, int]) -> list[int]:
 
 
 def frequent_lengths(docs: DataFrame, path: str, sample_rows: int = SAMPLE_ROWS, table_size: int = TABLE_SIZE) -> dict[str, int]:
-    """Lengths of the most frequent pre-tokens of at most `sample_rows` rows."""
+    """Lengths of the most frequent pre-tokens of about `sample_rows` texts; copies go together."""
     def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         _, tokenizer, _ = _library(path)
         for batch in batches:
@@ -97,7 +97,11 @@ def frequent_lengths(docs: DataFrame, path: str, sample_rows: int = SAMPLE_ROWS,
                 lengths = [len(tokenizer.model.tokenize(p)) for p in seen.index]
                 yield pd.DataFrame({"piece": seen.index.astype(str), "n": seen.values, "length": lengths})
 
-    sample = docs.select("text").where("text is not null").limit(sample_rows)
+    # Chosen by hash, at a rate from the count, so that nothing is gathered in one task; a
+    # hot group of copies that is chosen counts as one text.
+    rate = min(1 << 40, int(sample_rows / max(1, docs.count()) * (1 << 40)) + 1)
+    chosen = F.pmod(F.xxhash64("text", F.lit("token sample")), F.lit(1 << 40)) < rate
+    sample = docs.select("text").where(F.col("text").isNotNull() & chosen).distinct()
     counted = sample.mapInPandas(pieces, "piece string, n long, length int")
     top = counted.groupBy("piece").agg(F.sum("n").alias("n"), F.first("length").alias("length"))
     rows = top.orderBy(F.desc("n"), "piece").limit(table_size).collect()
@@ -107,8 +111,8 @@ def frequent_lengths(docs: DataFrame, path: str, sample_rows: int = SAMPLE_ROWS,
 def count_tokens(docs: DataFrame, path: str, limit: int = 512, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """All rows of `docs` with n_bytes, n_tokens and over_limit (more than `limit` tokens).
 
-    NULL and empty texts have no bytes and no tokens. Rows are independent, so repeated
-    rows count alike, and an empty table gives an empty table. Added columns replace ones
+    NULL and empty texts have no bytes and no tokens, and texts of any length are counted
+    whole. Rows are independent, so repeated rows count alike, and an empty table gives an empty table. Added columns replace ones
     of the same name. `path` must be readable on every executor.
     """
     ship_package(docs.sparkSession)
