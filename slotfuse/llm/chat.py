@@ -43,28 +43,51 @@ def unescape(text: Column, pairs: tuple[tuple[str, str], ...] = ESCAPES) -> Colu
     return text
 
 
-# The visitor: how many tokens one unit of an attachment stands for, by type.
-UNIT_TOKENS: dict[str, int] = {
-    "image": IMAGE_TILE_TOKENS,
-    "audio": AUDIO_SECOND_TOKENS,
-    "document": PAGE_TOKENS,
-}
+# The visitor: one function per type of part, from the part to its body in the template and
+# the tokens it stands for (NULL for what is text itself).
+Visitor = Callable[[Column], tuple[Column, Column]]
 
 
-def visit_parts(parts: Column, visitors: dict[str, int] | None = None) -> Column:
+def visit_text(part: Column) -> tuple[Column, Column]:
+    return escape(part["text"]), F.lit(None).cast("bigint")
+
+
+def _units(part: Column) -> Column:
+    """Tiles, seconds or pages; an attachment that does not say has one."""
+    return F.greatest(F.coalesce(part["units"], F.lit(1)), F.lit(1)).cast("bigint")
+
+
+def visit_image(part: Column) -> tuple[Column, Column]:
+    """A placeholder for the tiles; what is written beside an image, such as its alternative text, follows."""
+    return F.concat(F.lit("<image>"), escape(part["text"])), _units(part) * IMAGE_TILE_TOKENS
+
+
+def visit_audio(part: Column) -> tuple[Column, Column]:
+    """A placeholder for the seconds; a transcript, if there is one, follows."""
+    return F.concat(F.lit("<audio>"), escape(part["text"])), _units(part) * AUDIO_SECOND_TOKENS
+
+
+def visit_document(part: Column) -> tuple[Column, Column]:
+    """A document's title stands before the placeholder for its pages."""
+    return F.concat(escape(part["text"]), F.lit("<document>")), _units(part) * PAGE_TOKENS
+
+
+VISITORS: dict[str, Visitor] = {"text": visit_text, "image": visit_image, "audio": visit_audio, "document": visit_document}
+
+
+def visit_parts(parts: Column, visitors: dict[str, Visitor] | None = None) -> Column:
     """Parts with their `body` in the template and their `tokens`, in order.
 
-    A text part's body is its escaped text. An attachment's body is `<image>`, `<audio>`
-    or `<document>`; a part of unknown type is taken as text, so nothing is lost.
+    A part of unknown type is visited as text, so nothing is lost.
     """
-    visitors = visitors or UNIT_TOKENS
+    visitors = VISITORS if visitors is None else visitors
 
     def visit(part: Column) -> Column:
-        body, tokens = escape(part["text"]), F.lit(None).cast("bigint")
-        for kind, unit in visitors.items():
-            is_kind = part["kind"] == kind
-            body = F.when(is_kind, f"<{kind}>").otherwise(body)
-            tokens = F.when(is_kind, F.coalesce(part["units"], F.lit(1)) * unit).otherwise(tokens)
+        body, tokens = visit_text(part)
+        for kind, visitor in visitors.items():
+            own_body, own_tokens = visitor(part)
+            body = F.when(part["kind"] == kind, own_body).otherwise(body)
+            tokens = F.when(part["kind"] == kind, own_tokens).otherwise(tokens)
         return F.struct(body.alias("body"), part["ref"].alias("ref"), part["kind"].alias("kind"), tokens.alias("tokens"))
 
     return F.transform(parts, visit)
@@ -95,7 +118,8 @@ def format_chats(
     `parts` names a column of content parts; without it each row's `text` is one text
     part. Turns are ordered by `turn` (NULL first), ties by role and content, so repeated
     rows all stay and reruns agree. NULL text or role is empty; NULL conversations form
-    one conversation. Other columns of `turns` are not read. No turns, no row.
+    one conversation, so a conversation of any length is one row. Other columns of `turns`
+    are not read. No turns, no row.
     """
     content = F.col(parts) if parts else text_part(F.col(text))
     one = turns.select(

@@ -120,10 +120,8 @@ from e group by conv_id"""
 )
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    hard = r"\### Assistant: </turn> ok"
-    more = spark.createDataFrame(
-        [(-7, 0, "user", hard), (-7, 1, "assistant", hard)], "conv_id bigint, turn bigint, role string, text string"
-    )
+    hard = r"r'\### Assistant: </turn> ok'"
+    more = spark.sql(f"select * from values (-7L, 0L, 'user', {hard}), (-7L, 1L, 'assistant', {hard}) as t(conv_id, turn, role, text)")
     return chat.chat_digest(chat.format_chats(turns.unionByName(more)))
 
 

@@ -187,6 +187,30 @@ def test_chat_attachments(spark):
     assert [(a["place"], a["kind"], a["ref"], a["tokens"]) for a in row["attachments"]] == [(1, "image", "a.png", 512), (2, "document", "b.pdf", 1536)]
 
 
+def test_each_type_of_part_is_visited(spark):
+    parts = [
+        ("image", "a <cat>", "a.png", None), ("audio", None, "b.wav", 3), ("audio", "said \\ so", "c.wav", 0), ("document", "Title", "d.pdf", 2),
+        (None, "no kind", None, None), ("text", None, None, 9),
+    ]
+    df = spark.createDataFrame([(1, 0, "assistant", parts), (1, 1, "user", None)], f"conv_id bigint, turn int, role string, parts array<{chat.PART}>")
+    row = chat.format_chats(df, parts="parts").first()
+    assert row["formatted"] == "<turn assistant><image>a \\lcat><audio><audio>said \\b soTitle<document>no kind</turn>\n<turn user></turn>\n"
+    assert [(a["kind"], a["tokens"]) for a in row["attachments"]] == [("image", 256), ("audio", 75), ("audio", 25), ("document", 1024)]
+    assert "".join(s["text"] for s in row["segments"] if s["loss"]) == "no kind"
+    own = chat.visit_parts(F.col("parts"), {"audio": lambda p: (F.lit("[a]"), F.lit(1).cast("bigint"))})
+    assert [p["body"] for p in df.select(own.alias("p")).first()["p"]][1:4] == ["[a]", "[a]", "Title"]
+
+
+def test_long_and_empty_conversations(spark):
+    schema = "conv_id bigint, turn bigint, role string, text string"
+    rows = [(1, i, "assistant" if i % 2 else "user", f"turn {i} " * 20) for i in range(3000)] + [(2, 0, "assistant", "y" * 500_000)]
+    got = {r["conv_id"]: r for r in chat.chat_digest(chat.format_chats(spark.createDataFrame(rows, schema).withColumn("parts", F.lit(1)))).collect()}
+    assert got[1]["n_turns"] == 3000 and got[2]["loss_chars"] == 500_000
+    said = "".join(t for _, i, _, t in rows[:3000] if i % 2)
+    assert got[1]["loss_sha256"] == hashlib.sha256(said.encode()).hexdigest()
+    assert chat.format_chats(spark.createDataFrame([], schema)).count() == 0
+
+
 def test_blocks_of_broken_html():
     page = "<p>one <b>two<br>three<p class=x>f&uuml;r &amp;lt; <script>var a='</p>'</script>x<!-- <p>no --><td>cell< 5 <a href='>'>link</a>"
     assert [b.text for b in blocks.leaf_blocks(page)] == ["one two three", "für &lt; x", "cell< 5 link"]
