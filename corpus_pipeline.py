@@ -2,6 +2,11 @@
 
 Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept, and
 returns a DataFrame; `run` writes it to the shared folder and reads it back for the next.
+
+All stages but the last return the columns of `docs` as they are, whatever their names: only
+doc_id, text, lang, source and n_chars are read, and only text and n_chars change. Rows
+without id, repeated rows and empty tables are handled as the operators say; rows without
+text do not pass the quality rules.
 """
 
 from __future__ import annotations
@@ -17,35 +22,54 @@ from slotfuse.llm.common import read_table, staged
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+CORE = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def apart(docs: DataFrame, work: Callable[[DataFrame], DataFrame], *added: str) -> DataFrame:
+    """`work` on `docs` with all other columns out of its way, under names that clash with none.
+
+    The columns come back under their own names, with those that `work` has `added`, which
+    replace ones of the same name.
+    """
+    inner = {c if c in CORE else f"own_{i}": c for i, c in enumerate(docs.columns)}
+    done = work(docs.toDF(*inner))
+    return done.select(*[F.col(i).alias(c) for i, c in inner.items() if c not in added], *added)
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that the quality rules reject."""
-    judged = quality.quality_rules(docs, read_table(spark, sf_dir, "labels"))
-    return judged.where("kept").select(*docs.columns)
+    labels = read_table(spark, sf_dir, "labels")
+    return apart(docs, lambda rows: quality.quality_rules(rows, labels).where("kept"))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the smallest id of each group of near-duplicates."""
-    return simhash.drop_near_duplicates(docs, shingle=4, radius=4)
+    return apart(docs, lambda rows: simhash.drop_near_duplicates(rows, shingle=4, radius=4))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that hold a benchmark item."""
-    return decontaminate.decontaminate(docs, read_table(spark, sf_dir, "benchmark"))
+    benchmark = read_table(spark, sf_dir, "benchmark")
+    return apart(docs, lambda rows: decontaminate.decontaminate(rows, benchmark))
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace secrets in the texts; n_chars follows where a text has changed."""
-    clean = secrets.redact(secrets.scan_secrets(docs.withColumn("whole_text", F.col("text"))))
-    changed = ~F.col("text").eqNullSafe(F.col("whole_text"))
-    n_chars = F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return clean.withColumn("n_chars", n_chars).select(*docs.columns)
+    def redacted(rows: DataFrame) -> DataFrame:
+        clean = secrets.redact(secrets.scan_secrets(rows.withColumn("whole_text", F.col("text"))))
+        changed = ~F.col("text").eqNullSafe(F.col("whole_text"))
+        return clean.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+
+    return apart(docs, redacted)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: every document as often as it is taken, `epoch` counting its copies."""
-    mixed = mixing.mix_sources(docs, keep=docs.columns)
-    epochs = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
-    return mixed.where("copies > 0").select(*docs.columns, epochs.alias("epoch"))
+    def mixed(rows: DataFrame) -> DataFrame:
+        taken = mixing.mix_sources(rows, keep=rows.columns).where("copies > 0")
+        return taken.withColumn("epoch", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+
+    return apart(docs, mixed, "epoch")
 
 
 STAGES: list[tuple[str, Stage]] = [
