@@ -95,7 +95,7 @@ def _tables_of(words: Sequence[bytes], width: int) -> Iterator[tuple[np.ndarray,
     at = 0
     while at < len(order):
         longest = lengths[order[at]]
-        some = order[at:at + max(1, CELLS // (int(longest + 1) * width))]
+        some = order[at:at + max(1, CELLS // (int(longest + 1) * max(1, width)))]
         joined = b"".join(words[i].ljust(longest, b"\0") for i in some)
         yield some, np.frombuffer(joined, np.uint8).reshape(len(some), longest), lengths[some]
         at += len(some)
