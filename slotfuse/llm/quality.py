@@ -13,8 +13,13 @@ A document is kept if its score reaches a threshold fixed for the whole corpus.
 score that all but `most_lost` of its good documents reach, or halfway down to what all
 but `most_lost` of its bad ones stay below, if that is less. Nothing is drawn at random.
 
+All labels count, however many: they are broadcast while they are few. Beyond that the
+texts that may be in the target are joined to them by merging, and the scores of the
+documents left out are, without their texts.
+
 All of it is Spark SQL functions. Texts are read twice, once to count and once to score,
-and are never shuffled or staged; what is shuffled is at most one count a bucket and task.
+and are not staged, nor shuffled while the labels are few; what is shuffled then is at most
+one count a bucket and task.
 The ratios are whole thousandths, so sums do not depend on their order. They are a session
 variable of 2^18 numbers, which plans hold as a constant, so that a text is scored where
 it is read.
@@ -29,11 +34,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from slotfuse.llm.common import BLANKS, let, staged, words
+from slotfuse.llm.common import BLANKS, MAX_BROADCAST_BYTES, let, staged, words
 
 ADDED = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept")
 SYMBOLS = "#*$%&|<>"
 SCALE = 1000  # ratios are kept in thousandths
+LABEL_BYTES = 64  # of a label in a broadcast table
 
 
 @dataclass(frozen=True)
@@ -45,7 +51,7 @@ class Limits:
     backoff: float = 0.1
     parts: int = 4
     most_lost: float = 0.02
-    most_labels: int = 400_000  # labelled documents that are learnt from; more are thinned by hash
+    most_labels: int | None = None  # if given, more labelled documents are thinned by hash to about so many
 
 
 def pairs_at(array: Column, distance: int) -> Column:
@@ -124,7 +130,7 @@ def _part(limits: Limits) -> Column:
 
 
 def learning_labels(labels: DataFrame, limits: Limits) -> DataFrame:
-    """doc_id, quality: one label a document, at most about `most_labels`, broadcast in joins.
+    """doc_id, quality: one label a document, all of them unless `most_labels` is given.
 
     Of contradicting labels the worse counts. Labels without id or quality count for
     nothing. More than `most_labels` are thinned by a hash of the id, at a rate taken from
@@ -132,16 +138,32 @@ def learning_labels(labels: DataFrame, limits: Limits) -> DataFrame:
     """
     marks = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
     marks = staged(marks.groupBy("doc_id").agg(F.min("quality").alias("quality")), "quality-labels")
+    if limits.most_labels is None:
+        return marks
     share = min(1.0, limits.most_labels / max(1, marks.count()))
-    thinned = marks.where(F.pmod(F.xxhash64("doc_id", F.lit("quality label")), F.lit(1 << 20)) < int(share * (1 << 20)))
-    return F.broadcast(thinned)  # 16 bytes a label, bounded by most_labels
+    return marks.where(F.pmod(F.xxhash64("doc_id", F.lit("quality label")), F.lit(1 << 20)) < int(share * (1 << 20)))
+
+
+def with_target(docs: DataFrame, marks: DataFrame, limits: Limits, few: bool) -> DataFrame:
+    """text, good (1 in the target, else NULL) of all rows with text.
+
+    A `few` labels are broadcast. Else only texts that may be in the target are merged with
+    them, not those left out of it or without id.
+    """
+    learns = _part(limits) != 0
+    trusted = marks.where((F.col("quality") == 1) & learns).select("doc_id", F.lit(1).alias("good"))
+    texts = docs.select("doc_id", "text").where("text is not null")
+    if few:
+        return texts.join(F.broadcast(trusted), "doc_id", "left").select("text", "good")
+    may = learns & F.col("doc_id").isNotNull()
+    merged = texts.where(may).join(trusted.hint("merge"), "doc_id", "left").select("text", "good")
+    return merged.unionByName(texts.where(~may).select("text", F.lit(None).cast("int").alias("good")))
 
 
-def ratios(docs: DataFrame, marks: DataFrame, limits: Limits) -> DataFrame:
+def ratios(docs: DataFrame, marks: DataFrame, limits: Limits, few: bool = True) -> DataFrame:
     """One row, `ratios`: by bucket, thousandths of the log of target over raw probability."""
-    trusted = marks.where((F.col("quality") == 1) & (_part(limits) != 0)).select("doc_id", F.lit(1).alias("good"))
     grams = hashed_grams(F.col("text"))
-    each = docs.select("doc_id", "text").where("text is not null").join(trusted, "doc_id", "left").select(
+    each = with_target(docs, marks, limits, few).select(
         "good", F.explode(let(grams, lambda g: F.concat(g["word"], g["pair"]))).alias("gram")
     )
     counts = each.groupBy(_bucket(F.col("gram"), limits.buckets).alias("bucket")).agg(
@@ -189,7 +211,8 @@ def threshold(judged: DataFrame, limits: Limits) -> float | None:
 
 
 def quality_rules(
-    docs: DataFrame, labels: DataFrame, limits: Limits = Limits(), keep: Sequence[str] | None = None
+    docs: DataFrame, labels: DataFrame, limits: Limits = Limits(), keep: Sequence[str] | None = None,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """The columns `keep` (all) of every row, with the base counts, base_failed, score, kept.
 
@@ -205,7 +228,8 @@ def quality_rules(
     keep = [c for c in (docs.columns if keep is None else keep) if c not in ADDED]
     inner = {c: f"kept_{i}" for i, c in enumerate(keep)}
     marks = learning_labels(labels, limits)
-    learnt = staged(ratios(docs, marks, limits), "quality-ratios")
+    few = marks.count() * LABEL_BYTES <= max_broadcast_bytes
+    learnt = staged(ratios(docs, marks, limits, few), "quality-ratios")
     # A session variable: a scalar subquery may not stand inside a higher-order function,
     # and a column would be copied into every row.
     name = f"quality_ratios_{uuid.uuid4().hex}"
@@ -224,12 +248,18 @@ def quality_rules(
 
     measured = let(hashed_grams(text), measure)
     limit = None
-    for some in (marks.where(_part(limits) == 0), marks):
+    for held in (_part(limits) == 0, F.lit(True)):
         if limit is None:
             # Staged before the filter, which would measure all texts a second time.
-            sample = rows.join(F.broadcast(some), "doc_id").select("quality", measured.alias("m"))
-            sample = staged(sample.select("quality", "m.score", _failed(F.col("m"), limits).alias("base_failed")), "quality-sample")
-            limit = threshold(sample.where("not base_failed"), limits)
+            some, texts = marks.where(held), rows.where(held & F.col("doc_id").isNotNull())
+            if few:
+                found = texts.join(F.broadcast(some), "doc_id").select("quality", measured.alias("m"))
+                found = found.select("quality", "m.score", _failed(F.col("m"), limits).alias("base_failed"))
+            else:  # measured where they are read, so that no text is moved
+                found = texts.select("doc_id", measured.alias("m"))
+                found = found.select("doc_id", "m.score", _failed(F.col("m"), limits).alias("base_failed"))
+                found = found.join(some.hint("merge"), "doc_id").select("quality", "score", "base_failed")
+            limit = threshold(staged(found, "quality-held").where("not base_failed"), limits)
     judged = rows.select(*inner.values(), measured.alias("m")).select(*inner.values(), "m.*", _failed(F.col("m"), limits).alias("base_failed"))
     good = F.lit(True) if limit is None else F.col("score") >= limit
     judged = judged.select(*[F.col(n).alias(c) for c, n in inner.items()], "*", (~F.col("base_failed") & good).alias("kept"))

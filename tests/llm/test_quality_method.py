@@ -104,3 +104,20 @@ def test_more_labels_than_are_learnt_from(spark):
     marks = quality.learning_labels(labels, Limits(most_labels=20))
     assert 5 <= marks.count() <= 40
     assert quality_rules(docs, labels, Limits(most_labels=20)).count() == 80
+
+
+def test_all_labels_are_learnt_from_however_many(spark):
+    assert Limits().most_labels is None
+    rng = random.Random(6)
+    good, bad = texts(rng, 90)
+    docs = [*enumerate([*good, *bad, None, ""]), (0, good[0]), (None, good[1]), (None, None)]
+    labels = {i: int(i < 90) for i in range(120) if i % 3}
+    limits = Limits(buckets=1 << 12)
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    marks = spark.createDataFrame([(d, q, 0) for d, q in labels.items()] + [(None, 1, 0)], LABELS)
+    want = sorted(((d, t, round(s, 9), k) for (d, t), (s, k) in zip(docs, plain_judgement(docs, labels, limits))), key=repr)
+    got = quality_rules(df, marks, limits, max_broadcast_bytes=0)  # as with more labels than may be broadcast
+    assert sorted(((r["doc_id"], r["text"], round(r["score"], 9), r["kept"]) for r in got.collect()), key=repr) == want
+    # Nothing is thinned beyond the number at which the labels were cut before.
+    many = spark.range(450_000).selectExpr("id as doc_id", "1 as quality", "0 as toxic")
+    assert quality.learning_labels(many, Limits()).count() == 450_000
