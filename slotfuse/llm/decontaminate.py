@@ -7,10 +7,11 @@ passage: by the share of the item's words in the longest common subsequence, and
 paraphrases that reach a lower share only, by the share of the item's answer (its last
 words) that stands there in order.
 
-Document frequencies are counted over all documents. The SVD is fitted on the benchmark
-and a bounded sample of documents, about `sample_docs`, chosen by a hash of the text; it
-is used for every passage of every text, and the exact checks do not depend on it.
-Documents are never shuffled, only what is found in them is, by the digest of the text.
+Document frequencies are counted over all documents, and the SVD is fitted on the benchmark
+and all passages of all documents. These weigh as much as those of `corpus_docs` documents,
+so that the benchmark is not lost in a large corpus. The exact checks do not depend on it.
+Documents are never shuffled, only sums by word are, and what is found in them, by the
+digest of the text.
 
 The benchmark is taken in blocks of at most `block_items` items and `block_vocabulary`
 words (or one item). A block's vectors are broadcast while it is searched and destroyed
@@ -49,8 +50,8 @@ class Search:
     least_matched: int = 8  # words that must agree, or all if an item has fewer
     block_items: int = 2048
     block_vocabulary: int = 1 << 15
-    sample_docs: int = 2000
-    sample_parts: int = 12
+    corpus_docs: int = 2000  # as many as all documents weigh in the SVD, beside the benchmark
+    sample_parts: int = 12  # tasks that add up the products over all documents
 
 
 def bit_places(words: list[bytes]) -> dict[bytes, int]:
@@ -229,21 +230,17 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, search: Search = Search())
     """
     spark = docs.sparkSession
     ship_package(spark)
-    total = sample = None
+    total = None
     found = []
     for keys, texts in benchmark_blocks(benchmark, search):
-        if sample is None:
+        if total is None:
             total = docs.count()
-            # By hash, so that nothing is gathered in one task; the rate comes from the count, and a
-            # hot group of copies that is chosen is one text.
-            rate = min(1 << 40, int(search.sample_docs / max(1, total) * (1 << 40)) + 1)
-            chosen = F.pmod(F.xxhash64("text", F.lit("sample")), F.lit(1 << 40)) < rate
-            sample = staged(docs.select("text").where(chosen & F.col("text").isNotNull()).distinct(), "leak-sample").coalesce(search.sample_parts)
         listed = sorted({w for t in texts for w in t})
         vocabulary = {w: i for i, w in enumerate(listed)}
         idf = (np.log((1 + total) / (1 + document_frequencies(docs, vocabulary))) + 0.1) ** search.idf_power
         _, basis = randomised_svd(
-            sample, [word_ids(t, vocabulary) for t in texts], vocabulary, idf, search.dimensions, 2 * search.block_words
+            docs, [word_ids(t, vocabulary) for t in texts], vocabulary, idf, search.dimensions, 2 * search.block_words,
+            weight=min(1.0, search.corpus_docs / max(1, total)), parts=search.sample_parts, precision=np.float32,
         )
         found.append(_search(docs, Items(keys, texts, vocabulary, idf, basis, search)))
     if not found:

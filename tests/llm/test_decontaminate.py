@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from slotfuse.llm import decontaminate
 from slotfuse.llm.decontaminate import Search, bit_places, common_subsequence, find_leaks, leaks_of_rows
-from slotfuse.llm.latent import _add_cross, passage_rows, plain_words, randomised_svd, word_ids
+from slotfuse.llm.latent import _add_cross, corpus_product, passage_rows, plain_words, randomised_svd, word_ids
 
 DOCS = "doc_id bigint, text string"
 BENCH = "item_id bigint, text string"
@@ -125,3 +125,29 @@ def test_common_subsequence():
 def test_document_frequencies(spark):
     docs = spark.createDataFrame([(1, "a b a"), (2, "B! c"), (3, None), (4, ""), (5, "b b")], DOCS)
     assert decontaminate.document_frequencies(docs, {b"a": 0, b"b": 1, b"zz": 2}).tolist() == [1, 3, 0]
+
+
+def test_svd_covers_every_document(spark, prose):
+    """The products are over all passages, however the texts are dealt over tasks."""
+    texts = [prose(n) for n in (0, 1, 47, 48, 49, 130, 9000)] + [prose(60) for _ in range(200)] + [None, ""]
+    vocabulary = {w: i for i, w in enumerate(sorted({w for t in texts[:100] for w in plain_words(t)}))}
+    rng = np.random.default_rng(1)
+    idf, q = rng.uniform(0.5, 3, len(vocabulary)), rng.standard_normal((len(vocabulary), 5))
+    want = np.zeros_like(q)
+    for t in texts:
+        _add_cross(want, passage_rows(word_ids(plain_words(t or ""), vocabulary), 48), idf, q)
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = [corpus_product(docs.repartition(n), vocabulary, idf, q, 48, 3) for n in (2, 7)]
+    assert got[0] == pytest.approx(want, abs=1e-4) and got[1] == pytest.approx(want, abs=1e-4)
+    assert not corpus_product(docs.limit(0), vocabulary, idf, q, 48, 3).any()
+    strange = spark.createDataFrame([("ÿ þ",), ("",)], "text string")
+    assert not corpus_product(strange, vocabulary, idf, q.astype(np.float32), 48, 3).any()
+
+
+def test_svd_is_not_fitted_on_a_sample(spark, prose, monkeypatch):
+    seen = []
+    plain = decontaminate.randomised_svd
+    monkeypatch.setattr(decontaminate, "randomised_svd", lambda docs, *a, **k: (seen.append(docs.count()), plain(docs, *a, **k))[1])
+    docs = spark.createDataFrame([(i, prose(4)) for i in range(9000)], DOCS)
+    assert find_leaks(docs, spark.createDataFrame([(1, prose(30))], BENCH)).count() == 0
+    assert seen == [9000]
