@@ -147,6 +147,24 @@ def test_token_counts(docs, empty):
     assert tokens.count_tokens(empty, path).count() == 0
 
 
+def test_token_counts_by_whole_words(monkeypatch):
+    """Counts are the library's around every kind of white space, and known words are not cut again."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    rng = random.Random(8)
+    marks = [" "] * 8 + [*"ab'st1.,\n\t\r\x0b\x1c\x1f\x85\xa0\u2003\u2028\u3000\u200b\ufeffé日😀", "'s", "'ll", "  ", "hello", "x" * 70]
+    odd = ["".join(rng.choices(marks, k=rng.randint(0, 14))) for _ in range(3000)] + ["a<|endoftext|> b", " <|endoftext|>"]
+    want = [len(library.encode(t, add_special_tokens=False).ids) for t in odd]
+    assert tokens._count(odd, path, {}) == want
+    table = {w: tokens.word_length(w, library) for w in tokens.text_words("to be,  or not\n to be? ")}
+    assert all("".join(tokens.text_words(t)) == t for t in odd)
+    monkeypatch.setattr(tokens, "word_length", lambda *_: pytest.fail("a known word is cut again"))
+    assert tokens._count(["to be,  or not\n to be? "], path, table) == [sum(map(table.get, tokens.text_words("to be,  or not\n to be? ")))]
+
+
 def test_license_scan(docs, empty):
     got = licenses.scan_licenses(docs, keep=("doc_id", "text")).collect()
     assert len(got) == docs.count()
