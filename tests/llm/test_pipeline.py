@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from test_quality_method import plain_judgement
 
 import corpus_pipeline
+from slotfuse.llm import decontaminate
 from slotfuse.llm.decontaminate import bit_places, common_subsequence
 from slotfuse.llm.latent import plain_words
 from slotfuse.llm.quality import Limits
@@ -112,3 +113,16 @@ def test_mixing_stage(stages):
     for s in order:
         assert abs(taken.get(s, 0) - target[s]) <= most
     assert after.agg(F.max("epoch")).first()[0] <= 3
+
+
+def test_decontamination_learns_from_every_row(spark, tmp_path, monkeypatch):
+    """The stage's space is fitted on all rows it gets, not on some of them."""
+    seen = []
+    plain = decontaminate.randomised_svd
+    monkeypatch.setattr(decontaminate, "randomised_svd", lambda docs, *a, **k: (seen.append(docs.count()), plain(docs, *a, **k))[1])
+    spark.createDataFrame([(1, "one two three four five six seven eight nine ten")], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.range(5000).selectExpr("id as doc_id", "concat('text ', id) as text", "'en' as lang", "'a' as source", "8L as n_chars")
+    leak = docs.limit(1).withColumn("text", F.lit("x one two three four five six seven eight nine ten y"))
+    kept = corpus_pipeline.drop_leaks(spark, docs.unionByName(leak), str(tmp_path))
+    assert kept.count() == 5000
+    assert seen == [5001]
